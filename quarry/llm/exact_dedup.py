@@ -48,7 +48,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         )
         .drop("contents")
     )
-    winners = salted.select(*key).join(final, [SHA, CHECK])
+    # Narrow: the salted groups' keys alone, so that their texts are shuffled once and not twice.
+    winners = rows.select(*key).distinct().join(final, [SHA, CHECK])
     found = rows.join(winners, key)
     # Of repeated rows one stays: the first among those that carry the winning id.
     # Rows without an id share one salt, so this holds for them as well.
