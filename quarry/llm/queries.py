@@ -6,14 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import exact_dedup, hilbert, mixing, packing
+from quarry.llm import exact_dedup, hilbert, language_id, mixing, ngram_join, packing, quality, secret_scan, token_counts, wavelet
 from quarry.llm.common import documents
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.rules(documents(spark, sf_dir))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(documents(spark, sf_dir))
+
+
+def op4_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wavelet.read_documents(wavelet.write_shards(documents(spark, sf_dir)))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir)).select(
         "doc_id", "dedup.keep_id", "dedup.group_size", "dedup.kept", "dedup.text_sha256"
@@ -24,10 +36,22 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(documents(spark, sf_dir))
+
+
 def op8_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.shards(documents(spark, sf_dir))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(documents(spark, sf_dir))
+
+
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
