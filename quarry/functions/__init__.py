@@ -1 +1 @@
-
+"""Column functions and type names."""

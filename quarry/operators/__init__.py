@@ -1 +1 @@
-
+"""Profiling, gating, fingerprint, edge, mining and drift operators."""

@@ -1 +1 @@
-
+"""Incremental profiles of streams."""
