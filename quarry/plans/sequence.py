@@ -21,7 +21,9 @@ def resolve(fields: DataFrame, columns: DataFrame) -> DataFrame:
     by_word = F.size(F.array_intersect("words", "own")) / F.size(F.array_union("words", "own"))
     by_table = F.when(F.size(F.array_intersect("words", "table_words")) > 0, 0.1).otherwise(0.0)
     spelled = 1 - F.levenshtein(F.lower("field"), F.lower("column")) / F.greatest(F.length("field"), F.length("column"))
-    scored = met.withColumn("score", by_word + by_table + spelled)
+    # Column names abbreviate: a word counts if its first three letters are in the name.
+    short = F.size(F.filter("words", lambda w: F.contains(F.lower(F.col("column")), F.substring(w, 1, 3)))) / F.size("words")
+    scored = met.withColumn("score", by_word + by_table + spelled + short)
     best = scored.groupBy("field").agg(F.max(F.struct("score", "table", "column")).alias("best"))
     return best.select("field", "best.table", "best.column", "best.score")
 
