@@ -2,7 +2,9 @@
 
 A byte-level BPE never merges across the pieces of its pre-tokenizer, and a single space
 after a character that is no white space always begins a piece. So a text is cut there,
-each part is encoded by the library once, and the ids of the parts are joined. A text with
+each part is encoded by the library once, and the ids of the parts are joined. New parts are
+encoded as one text; there a part begins at each token that begins with a space, since parts
+hold no other space. A text with
 a special token, or with white space around a space, is encoded by the library as a whole.
 """
 
@@ -33,7 +35,9 @@ def _loaded(path: str):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    return tokenizer, {}, tuple(t.content for t in tokenizer.get_added_tokens_decoder().values())
+    spaced = np.zeros(max(tokenizer.get_vocab().values()) + 1, bool)
+    spaced[[i for t, i in tokenizer.get_vocab().items() if t[0] == "\u0120"]] = True  # how byte-level vocabularies write a space
+    return tokenizer, {}, tuple(t.content for t in tokenizer.get_added_tokens_decoder().values()), spaced
 
 
 def _packed(ids: list[int]) -> bytes:
@@ -42,7 +46,7 @@ def _packed(ids: list[int]) -> bytes:
 
 def encode(texts: list[str], path: str) -> list[bytes]:
     """Ids of each text as little-endian unsigned 32-bit integers, without an end id."""
-    tokenizer, cache, special = _loaded(path)
+    tokenizer, cache, special, spaced = _loaded(path)
     if len(cache) > REMEMBER:
         cache.clear()
     out: list[bytes | None] = [None] * len(texts)
@@ -57,8 +61,14 @@ def encode(texts: list[str], path: str) -> list[bytes]:
             out[i] = _packed(e.ids)
     firsts = tokenizer.encode_batch_fast([parts[0] for _, parts in cut], add_special_tokens=False) if cut else []
     need = list(set().union(*(parts[1:] for _, parts in cut)).difference(cache)) if cut else []
-    for part, e in zip(need, tokenizer.encode_batch_fast([" " + p for p in need], add_special_tokens=False)):
-        cache[part] = _packed(e.ids)
+    if need:
+        ids = np.array(tokenizer.encode_batch_fast([" " + " ".join(need)], add_special_tokens=False)[0].ids, "<u4")
+        begins = (np.flatnonzero(spaced[ids]) * 4).tolist()
+        if len(begins) != len(need):
+            raise ValueError("the tokenizer merges across words")
+        data = ids.tobytes()
+        for part, lo, hi in zip(need, begins, [*begins[1:], len(data)]):
+            cache[part] = data[lo:hi]
     for (i, parts), first in zip(cut, firsts):
         out[i] = _packed(first.ids) + b"".join(map(cache.__getitem__, parts[1:]))
     return out
