@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import small_batches
 
-BUCKETS, EXCERPT, LANGUAGES, LEVEL, BLOCK = 64, 2000, 64, 3, 2048
+BUCKETS, EXCERPT, LANGUAGES, LEVEL, BLOCK = 64, 6000, 64, 12, 512
 NARROW, RELIABLE = 0.01, 0.10
 LETTERS = re.compile(r"[^\W\d_]+")
 RESULT = "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean"
