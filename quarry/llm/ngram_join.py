@@ -15,8 +15,9 @@ becomes one segment a fragment, and everything after works on segments:
    separately and summed by pair. The difference of a set to its pivot is kept where needed.
 4. The rest. Two members of a pivot of which one is not linked to it may still link. They do
    only if their *differences* to the pivot overlap by known amounts, so prefixes of the
-   differences (n-grams new to the pivot first, as the rarer ones) are joined, and the
-   distance follows from the differences exactly.
+   differences (n-grams new to the pivot first, as the rarer ones) are joined, what the
+   sizes and the places of a shared n-gram rule out is left out, and the distance follows
+   from the differences exactly.
 5. Links are closed by connected components, over classes of equal sets; copies are joined
    back at the end, salted.
 
@@ -319,19 +320,30 @@ def links(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     loose = tested.where("several and not linked")
     groups = loose.select("p").distinct()
     near = tested.where("several").join(groups, "p", "left_semi").select(
-        "p", "m", "n_m", "n_p", "linked", F.concat(F.sort_array("extra"), F.sort_array("missing")).alias("diff")
+        "p", "m", "n_m", "linked", F.concat(F.sort_array("extra"), F.sort_array("missing")).alias("diff")
     )
-    size = F.size("diff")
+    near = near.withColumn("size", F.size("diff"))
+    size = F.col("size")
     # Bounds on the overlap of two differences, of which one belongs to an unlinked member; see 4. above.
     at_least = F.floor(F.lit(percent) * size / (100 + percent)) + 1
     as_loose = F.greatest(F.lit(1), size - F.floor((100 - percent) * F.col("n_m") / F.lit(percent)))
-    prefix = lambda need: F.slice("diff", 1, F.greatest(F.lit(0), size - need + 1).cast("int"))
-    right = near.select("p", F.col("m").alias("b"), F.col("linked").alias("b_linked"), F.explode(prefix(at_least)).alias("gram"), F.col("n_m").alias("n_b"))
-    left = near.where("not linked").select("p", F.col("m").alias("a"), F.explode(prefix(as_loose)).alias("gram"), F.col("n_m").alias("n_a"))
+    prefix = lambda need: F.posexplode(F.slice("diff", 1, F.greatest(F.lit(0), size - need + 1).cast("int")))
+
+    def prefixes(rows: DataFrame, c: str, need: F.Column) -> DataFrame:
+        return rows.select(
+            "p", F.col("m").alias(c), F.col("n_m").alias(f"n_{c}"), F.col("linked").alias(f"linked_{c}"), size.alias(f"size_{c}"), prefix(need).alias(f"at_{c}", "gram")
+        )
+
+    # The largest distance of a linked pair, and so the least overlap of the differences.
+    most = F.floor((100 - percent) * (F.col("n_a") + F.col("n_b")) / F.lit(100 + percent))
+    need = F.ceil((F.col("size_a") + F.col("size_b") - most) / F.lit(2))
+    left_over = F.least(F.col("size_a") - F.col("at_a"), F.col("size_b") - F.col("at_b"))  # from a first shared n-gram on
     met = (
-        left.join(right, ["p", "gram"])
-        .where((F.col("a") != F.col("b")) & (F.col("b_linked") | (F.col("a") < F.col("b"))))
+        prefixes(near.where("not linked"), "a", as_loose)
+        .join(prefixes(near, "b", at_least), ["p", "gram"])
+        .where((F.col("a") != F.col("b")) & (F.col("linked_b") | (F.col("a") < F.col("b"))))
         .where((100 * F.col("n_a") >= percent * F.col("n_b")) & (100 * F.col("n_b") >= percent * F.col("n_a")))
+        .where((F.abs(F.col("size_a") - F.col("size_b")) <= most) & (left_over >= need))
         .select("p", "a", "b")
         .distinct()
     )
