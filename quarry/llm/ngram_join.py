@@ -241,7 +241,7 @@ def overlaps(docs: DataFrame, pairs: DataFrame, n: int = N) -> DataFrame:
     extra and missing are the member's differences to its pivot, for pivots with several members.
     """
     needed = pairs.select(F.col("p").alias("cid")).unionByName(pairs.select(F.col("m").alias("cid"))).distinct()
-    texts, _ = written(texts_by_set(docs, n).join(needed, "cid", "left_semi").dropDuplicates(["cid"]), "join-texts")
+    texts, _ = written(texts_by_set(docs, n).join(needed.hint("merge"), "cid", "left_semi").dropDuplicates(["cid"]), "join-texts")
     both = (
         pairs.join(texts, pairs["m"] == texts["cid"])
         .select("p", "m", F.pmod("m", F.lit(SALTS)).cast("int").alias("salt"), "several", "text")
