@@ -29,7 +29,7 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of linked documents the one with the smallest doc_id; unlinked ones all stay."""
+    """Of each component of documents linked by five-word shingles at 0.8 or more the one with the smallest doc_id; unlinked ones all stay."""
     found = ngram_join.join(docs)
     gone = found.where("n_shingles > 0 and component_id is not null and not doc_id <=> component_id").select(F.col("doc_id").alias(ID)).distinct()
     return docs.join(gone, docs["doc_id"].eqNullSafe(gone[ID]), "left_anti")

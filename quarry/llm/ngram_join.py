@@ -4,11 +4,13 @@ N-grams are ordered by a 64-bit hash. That global order is cut into fragments, s
 becomes one segment a fragment, and everything after works on segments:
 
 1. Candidates. Two sets that link differ in at most d = (a + b)(1 - t)/(1 + t) n-grams, so of
-   d + 2 fragments at least two hold equal segments. A set is written under the cut of its
+   d + s fragments at least s hold equal segments. A set is written under the cut of its
    own size class and under that of the next (a linked pair lies in neighbouring classes),
    one key a non-empty segment. Equal empty segments give no key: a pair can only be missed
-   if both sets have two empty segments or more, and such sets are cut again by another
-   order, up to ROUNDS times, then all share one key. No pair is lost.
+   if both sets have s empty segments or more, and such sets are cut again by another
+   order, up to ROUNDS times, then all share one key. No pair is lost. s is two and a share
+   of d that the smallest set of a cut rarely reaches, so that long sets do not all share
+   that key at low thresholds.
 2. Pivots. Sets that share a key are not all paired. The set with the most company among
    them is their pivot and each other one is paired with it: rows grow linearly.
 3. Partial overlaps. The n-grams of a pair meet fragment by fragment; overlaps are counted
@@ -30,6 +32,7 @@ two sets share the first 64 bits the job fails instead of merging them.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,7 +45,7 @@ from quarry.llm.common import small_batches, written
 from quarry.llm.components import components
 from quarry.llm.textvec import U64, mix
 
-N, PERCENT = 3, 90
+N, PERCENT = 5, 80
 ROUNDS, SLICES, SALTS = 4, 4, 64
 #: Set ids that a task remembers so that its own copies are written once.
 REMEMBER = 1_000_000
@@ -56,10 +59,22 @@ def bounds(percent: int = PERCENT, top: int = 1 << 40) -> list[int]:
     return out
 
 
-def fragments(cls: int, edges: list[int], percent: int = PERCENT) -> int:
-    """Fragments for pairs whose larger set is in the class; 0 if only equal sets can link."""
+def spare(percent: int = PERCENT) -> float:
+    """Fragments to add for each n-gram that a pair may differ in: 1.3 times the share expected to be empty."""
+    t, out = percent / 100, 0.0
+    if t == 1:
+        return out
+    load = t * t * (1 + t) / (2 * (1 - t))  # n-grams a fragment in the smallest set of a cut
+    for _ in range(30):
+        out = min(1.0, 1.3 * (1 + out) * math.exp(-load / (1 + out)))
+    return out
+
+
+def fragments(cls: int, edges: list[int], percent: int = PERCENT) -> tuple[int, int]:
+    """Fragments, and how many of them surely are equal, for pairs whose larger set is in the class; 0 if only equal sets can link."""
     differ = 2 * (edges[cls + 1] - 1) * (100 - percent) // (100 + percent)
-    return differ + 2 if differ else 0
+    equal = 2 + int(differ * spare(percent))
+    return (differ + equal, equal) if differ else (0, 0)
 
 
 def sets(w: textvec.Words, n: int = N) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -105,7 +120,7 @@ def names(grams: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def segment_keys(doc: np.ndarray, grams: np.ndarray, sizes: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
     """(document, key) for every non-empty segment of every document that can have a partner."""
     edges = bounds(percent)
-    cuts = np.array([fragments(c, edges, percent) for c in range(len(edges) - 1)])
+    cuts, equal = np.array([fragments(c, edges, percent) for c in range(len(edges) - 1)]).T
     cls = np.searchsorted(edges, sizes, side="right") - 1
     docs_out, keys_out = [], []
     content = mix(grams ^ U64(0x2545F4914F6CDD1D))
@@ -134,7 +149,7 @@ def segment_keys(doc: np.ndarray, grams: np.ndarray, sizes: np.ndarray, percent:
             docs_out.append(d)
             keys_out.append(keys)
             filled = np.bincount(d, minlength=len(sizes))
-            parts = np.where(live & (parts - filled >= 2), parts, 0)
+            parts = np.where(live & (parts - filled >= equal[scheme]), parts, 0)
         rest = np.flatnonzero(parts > 0)
         docs_out.append(rest)
         with np.errstate(over="ignore"):

@@ -49,7 +49,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.join(documents(spark, sf_dir))
+    return ngram_join.join(documents(spark, sf_dir), n=3, percent=90)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -303,13 +303,13 @@ def test_language_id(spark, docs, empty):
     assert sum(truth[r["doc_id"]] == r["lang_pred"] for r in held) >= 0.97 * len(held)
 
 
-def gram_set(text):
+def gram_set(text, n=5):
     words = tuple(WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or "")))
-    return frozenset(words[k : k + 3] for k in range(len(words) - 2)) or (frozenset([words]) if words else frozenset())
+    return frozenset(words[k : k + n] for k in range(len(words) - n + 1)) or (frozenset([words]) if words else frozenset())
 
 
-def brute_components(rows):
-    found = [gram_set(r[1]) for r in rows]
+def brute_components(rows, n=5, percent=80):
+    found = [gram_set(r[1], n) for r in rows]
     parent = list(range(len(rows)))
 
     def top(k):
@@ -319,7 +319,7 @@ def brute_components(rows):
 
     for a in range(len(rows)):
         for b in range(a):
-            if found[a] and found[b] and 100 * len(found[a] & found[b]) >= 90 * len(found[a] | found[b]):
+            if found[a] and found[b] and 100 * len(found[a] & found[b]) >= percent * len(found[a] | found[b]):
                 parent[top(a)] = top(b)
     least = {}
     for k, r in enumerate(rows):
@@ -328,13 +328,18 @@ def brute_components(rows):
     return sorted((repr(r[0]), len(found[k]), repr(least.get(top(k)) if found[k] else r[0])) for k, r in enumerate(rows))
 
 
-def test_ngram_join(docs, empty):
-    got = ngram_join.join(docs).collect()
-    assert sorted((repr(r["doc_id"]), r["n_shingles"], repr(r["component_id"])) for r in got) == brute_components(ROWS)
+BOTH = pytest.mark.parametrize("n, percent", [(3, 90), (5, 80)])
+
+
+@BOTH
+def test_ngram_join(docs, empty, n, percent):
+    got = ngram_join.join(docs, n, percent).collect()
+    assert sorted((repr(r["doc_id"]), r["n_shingles"], repr(r["component_id"])) for r in got) == brute_components(ROWS, n, percent)
     assert ngram_join.join(empty).count() == 0
 
 
-def test_ngram_join_of_many_near_copies(spark):
+@BOTH
+def test_ngram_join_of_many_near_copies(spark, n, percent):
     """Edits of one text: links on both sides of the threshold, of which many do not touch the pivot."""
     rng, rows = random.Random(3), []
     base = [f"b{k}" for k in range(150)]
@@ -344,13 +349,13 @@ def test_ngram_join_of_many_near_copies(spark):
         for _ in range(rng.randint(0, 3)):
             words[rng.randrange(150)] = f"u{rng.randrange(10**6)}"
         rows.append((k, " ".join(words), None, None, None))
-    got = ngram_join.join(spark.createDataFrame(rows, SCHEMA)).collect()
-    assert sorted((repr(r["doc_id"]), r["n_shingles"], repr(r["component_id"])) for r in got) == brute_components(rows)
+    got = ngram_join.join(spark.createDataFrame(rows, SCHEMA), n, percent).collect()
+    assert sorted((repr(r["doc_id"]), r["n_shingles"], repr(r["component_id"])) for r in got) == brute_components(rows, n, percent)
 
 
 @settings(max_examples=25, deadline=None)
-@given(st.integers(9, 400), st.integers(0, 40), st.randoms(use_true_random=False))
-def test_linked_sets_share_a_key(n, edits, rng):
+@given(st.integers(4, 900), st.integers(0, 200), st.sampled_from([50, 80, 90, 95]), st.randoms(use_true_random=False))
+def test_linked_sets_share_a_key(n, edits, percent, rng):
     a = {rng.randrange(2**64) for _ in range(n)}
     b = set(a)
     for _ in range(edits):
@@ -358,13 +363,22 @@ def test_linked_sets_share_a_key(n, edits, rng):
             b.remove(rng.choice(sorted(b)))
         else:
             b.add(rng.randrange(2**64))
-    if 100 * len(a & b) < 90 * len(a | b) or a == b:
+    if 100 * len(a & b) < percent * len(a | b) or a == b:
         return
     grams = np.array(sorted(a) + sorted(b), np.uint64)
-    d, keys = ngram_join.segment_keys(np.repeat([0, 1], [len(a), len(b)]), grams, np.array([len(a), len(b)]))
+    d, keys = ngram_join.segment_keys(np.repeat([0, 1], [len(a), len(b)]), grams, np.array([len(a), len(b)]), percent)
     assert set(keys[d == 0].tolist()) & set(keys[d == 1].tolist())
 
 
+def test_long_sets_rarely_share_the_last_key():
+    """At a low threshold the fragments are short; sets of each size within a class must still get keys of their own."""
+    rng = np.random.default_rng(5)
+    for size in (300, 2000, 2400, 20000, 24000):
+        grams = np.sort(rng.integers(0, 2**63, (6, size), dtype=np.uint64), axis=1)
+        d, keys = ngram_join.segment_keys(np.repeat(np.arange(6), size), grams.ravel(), np.full(6, size), 80)
+        assert len(set(zip(d.tolist(), keys.tolist()))) == len(d) and np.unique(keys, return_counts=True)[1].max() == 1
+
+
 def test_components(spark):
     chain = [(k, k + 1) for k in range(30)] + [(50, 40), (41, 50), (60, 60)]
     got = {r["node"]: r["label"] for r in components.components(spark.createDataFrame(chain, "u long, v long")).collect()}
