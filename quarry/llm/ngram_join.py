@@ -10,7 +10,9 @@ becomes one segment a fragment, and everything after works on segments:
    if both sets have s empty segments or more, and such sets are cut again by another
    order, up to ROUNDS times, then all share one key. No pair is lost. s is two and a share
    of d that the smallest set of a cut rarely reaches, so that long sets do not all share
-   that key at low thresholds.
+   that key at low thresholds. A set with e empty segments shares s - e keys of a cut with
+   each partner at least, so it gives up its s - e - 1 most common ones: the least common
+   shared key is kept on both sides, and passages that many texts quote gather no crowds.
 2. Pivots. Sets that share a key are not all paired. The set with the most company among
    them is their pivot and each other one is paired with it: rows grow linearly.
 3. Partial overlaps. The n-grams of a pair meet fragment by fragment; overlaps are counted
@@ -49,6 +51,8 @@ N, PERCENT = 5, 80
 ROUNDS, SLICES, SALTS = 4, 4, 64
 #: Set ids that a task remembers so that its own copies are written once.
 REMEMBER = 1_000_000
+#: Dispensable keys are counted up to here; giving up fewer is always right.
+MOST = 1 << 24
 
 
 def bounds(percent: int = PERCENT, top: int = 1 << 40) -> list[int]:
@@ -117,12 +121,15 @@ def names(grams: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return first.view(np.int64), second.view(np.int64)
 
 
-def segment_keys(doc: np.ndarray, grams: np.ndarray, sizes: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
-    """(document, key) for every non-empty segment of every document that can have a partner."""
+def segment_keys(doc: np.ndarray, grams: np.ndarray, sizes: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, ...]:
+    """(document, key, cut, dispensable) for every non-empty segment of every document that can have a partner.
+
+    Of its keys of one cut a document needs all but the `dispensable` most common ones.
+    """
     edges = bounds(percent)
     cuts, equal = np.array([fragments(c, edges, percent) for c in range(len(edges) - 1)]).T
     cls = np.searchsorted(edges, sizes, side="right") - 1
-    docs_out, keys_out = [], []
+    out: list[tuple[np.ndarray, ...]] = []
     content = mix(grams ^ U64(0x2545F4914F6CDD1D))
     for step in (0, 1):
         scheme = np.maximum(cls, 0) + step
@@ -146,17 +153,17 @@ def segment_keys(doc: np.ndarray, grams: np.ndarray, sizes: np.ndarray, percent:
             with np.errstate(over="ignore"):
                 tag = mix(scheme[d].astype(U64) * U64(0xD1B54A32D192ED03) + f * U64(ROUNDS) + U64(turn))
                 keys = mix(np.add.reduceat(c[order], starts) + tag)
-            docs_out.append(d)
-            keys_out.append(keys)
-            filled = np.bincount(d, minlength=len(sizes))
-            parts = np.where(live & (parts - filled >= equal[scheme]), parts, 0)
+            void = parts - np.bincount(d, minlength=len(sizes))
+            over = np.clip(equal[scheme] - void - 1, 0, MOST)
+            out.append((d, keys, np.full(len(d), step * (ROUNDS + 1) + turn), over[d]))
+            parts = np.where(live & (void >= equal[scheme]), parts, 0)
         rest = np.flatnonzero(parts > 0)
-        docs_out.append(rest)
         with np.errstate(over="ignore"):
-            keys_out.append(mix(scheme[rest].astype(U64) + U64(0xA0761D6478BD642F)))
-    d, k = np.concatenate(docs_out).astype(np.int64), np.concatenate(keys_out)
-    order = np.argsort(d, kind="stable")
-    return d[order], k[order].view(np.int64)
+            last = mix(scheme[rest].astype(U64) + U64(0xA0761D6478BD642F))
+        out.append((rest, last, np.full(len(rest), step * (ROUNDS + 1) + ROUNDS), np.zeros(len(rest), np.int64)))
+    d, k, cut, over = (np.concatenate(c) for c in zip(*out))
+    order = np.argsort(d * 16 + cut, kind="stable")
+    return d[order].astype(np.int64), k[order].view(np.int64), cut[order].astype(np.int64), over[order].astype(np.int64)
 
 
 def _lists(counts: np.ndarray, values: np.ndarray) -> pa.ListArray:
@@ -189,7 +196,10 @@ def members(docs: DataFrame, n: int = N) -> DataFrame:
 
 
 def keyed(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
-    """(key, cid, n): the segment keys of the sets of all rows; a task writes a set once."""
+    """(key, cid, info): the segment keys of the sets of all rows; a task writes a set once.
+
+    info holds the set's size (32 bits), the key's cut (4 bits) and the dispensable keys of the cut.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
@@ -199,13 +209,16 @@ def keyed(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
                 cid, _ = names(grams, sizes)
                 fresh = _fresh(cid, sizes, seen)
                 sizes = np.where(fresh, sizes, 0)
-                d, keys = segment_keys(doc[fresh[doc]], grams[fresh[doc]], sizes, percent)
-                counts = np.bincount(d, minlength=len(sizes))
-                use = counts > 0
-                yield pa.RecordBatch.from_arrays([pa.array(cid[use]), pa.array(sizes[use].astype(np.int32)), _lists(counts[use], keys)], names=["cid", "n", "keys"])
+                d, keys, cut, over = segment_keys(doc[fresh[doc]], grams[fresh[doc]], sizes, percent)
+                if not len(d):
+                    continue
+                group = d * 16 + cut  # ascending
+                first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+                info = sizes[d[first]] | cut[first] << 32 | over[first] << 36
+                yield pa.RecordBatch.from_arrays([pa.array(cid[d[first]]), pa.array(info), _lists(np.diff(np.append(first, len(d))), keys)], names=["cid", "info", "keys"])
 
-    rows = docs.select("text").mapInArrow(run, "cid long, n int, keys array<long>")
-    return rows.select(F.explode("keys").alias("key"), "cid", "n")
+    rows = docs.select("text").mapInArrow(run, "cid long, info long, keys array<long>")
+    return rows.select(F.explode("keys").alias("key"), "cid", "info")
 
 
 def texts_by_set(docs: DataFrame, n: int = N) -> DataFrame:
@@ -234,7 +247,10 @@ def star_pairs(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame
             "high": F.max("cid").over(by_key),
         }
     ).where((F.col("low") != F.col("high")) & ~F.col("cid").eqNullSafe(F.col("before")))
-    active, _ = written(rows.withColumn("company", F.count(F.lit(1)).over(by_key)).select("key", "cid", "n", "company"), "join-keys")
+    by_cut = Window.partitionBy("cid", F.shiftright("info", 32).bitwiseAND(15)).orderBy(F.col("company").desc(), "key")
+    rows = rows.withColumn("company", F.count(F.lit(1)).over(by_key)).withColumn("place", F.row_number().over(by_cut))
+    rows = rows.where(F.col("place") > F.shiftright("info", 36)).withColumn("n", F.col("info").bitwiseAND(0xFFFFFFFF).cast("int"))
+    active, _ = written(rows.select("key", "cid", "n", "company"), "join-keys")
     popular = active.groupBy("cid").agg(F.sum("company").alias("popular"))
     ranked = active.drop("company").join(popular, "cid")
     pivots = ranked.groupBy("key").agg(F.max(F.struct("popular", "cid", "n")).alias("pivot"))

@@ -366,8 +366,14 @@ def test_linked_sets_share_a_key(n, edits, percent, rng):
     if 100 * len(a & b) < percent * len(a | b) or a == b:
         return
     grams = np.array(sorted(a) + sorted(b), np.uint64)
-    d, keys = ngram_join.segment_keys(np.repeat([0, 1], [len(a), len(b)]), grams, np.array([len(a), len(b)]), percent)
-    assert set(keys[d == 0].tolist()) & set(keys[d == 1].tolist())
+    found = ngram_join.segment_keys(np.repeat([0, 1], [len(a), len(b)]), grams, np.array([len(a), len(b)]), percent)
+    common, kept = {k: rng.randrange(5) for k in found[1].tolist()}, [set(), set()]
+    cuts = collections.defaultdict(list)
+    for d, key, cut, over in zip(*(c.tolist() for c in found)):
+        cuts[d, cut, over].append((-common[key], key))
+    for (d, _, over), keys in cuts.items():
+        kept[d] |= {key for _, key in sorted(keys)[over:]}
+    assert kept[0] & kept[1]
 
 
 def test_long_sets_rarely_share_the_last_key():
@@ -375,7 +381,7 @@ def test_long_sets_rarely_share_the_last_key():
     rng = np.random.default_rng(5)
     for size in (300, 2000, 2400, 20000, 24000):
         grams = np.sort(rng.integers(0, 2**63, (6, size), dtype=np.uint64), axis=1)
-        d, keys = ngram_join.segment_keys(np.repeat(np.arange(6), size), grams.ravel(), np.full(6, size), 80)
+        d, keys, _, _ = ngram_join.segment_keys(np.repeat(np.arange(6), size), grams.ravel(), np.full(6, size), 80)
         assert len(set(zip(d.tolist(), keys.tolist()))) == len(d) and np.unique(keys, return_counts=True)[1].max() == 1
 
 
