@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: Rows in one Arrow batch. Documents can be long, so batches are kept small.
 ARROW_ROWS = 1000
+#: Spark's setting to drop an execution's shuffle files when it ends, and not at some later garbage collection.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,10 +45,18 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """Write df to the shared folder and read it again: cuts lineage, survives lost executors."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
+    """Write df to the shared folder and read it again: cuts lineage, survives lost executors.
+
+    The written table takes the place of the shuffle files, which are dropped.
+    """
+    spark, path = df.sparkSession, new_path(df.sparkSession, name)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm import textvec
-from quarry.llm.common import small_batches, written
+from quarry.llm.common import remove, small_batches, written
 from quarry.llm.components import components
 from quarry.llm.textvec import U64, mix
 
@@ -250,7 +250,7 @@ def star_pairs(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame
     by_cut = Window.partitionBy("cid", F.shiftright("info", 32).bitwiseAND(15)).orderBy(F.col("company").desc(), "key")
     rows = rows.withColumn("company", F.count(F.lit(1)).over(by_key)).withColumn("place", F.row_number().over(by_cut))
     rows = rows.where(F.col("place") > F.shiftright("info", 36)).withColumn("n", F.col("info").bitwiseAND(0xFFFFFFFF).cast("int"))
-    active, _ = written(rows.select("key", "cid", "n", "company"), "join-keys")
+    active, used = written(rows.select("key", "cid", "n", "company"), "join-keys")
     popular = active.groupBy("cid").agg(F.sum("company").alias("popular"))
     ranked = active.drop("company").join(popular, "cid")
     pivots = ranked.groupBy("key").agg(F.max(F.struct("popular", "cid", "n")).alias("pivot"))
@@ -260,19 +260,21 @@ def star_pairs(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame
         .select(F.col("pivot.cid").alias("p"), F.col("cid").alias("m"), F.col("pivot.n").alias("n_p"), F.col("n").alias("n_m"))
         .distinct()
     )
-    pairs, _ = written(pairs, "join-pairs")
+    pairs, next_used = written(pairs, "join-pairs")
+    remove(docs.sparkSession, used)
     sized = pairs.groupBy("p").agg(F.count(F.lit(1)).alias("size"))
     out, _ = written(pairs.join(sized, "p").withColumn("several", F.col("size") > 1).drop("size"), "join-stars")
+    remove(docs.sparkSession, next_used)
     return out
 
 
-def overlaps(docs: DataFrame, pairs: DataFrame, n: int = N) -> DataFrame:
-    """(p, m, slice, overlap, extra, missing): partial overlaps of each pair, fragment by fragment.
+def overlaps(docs: DataFrame, pairs: DataFrame, n: int = N) -> tuple[DataFrame, str]:
+    """(p, m, overlap, extra, missing): partial overlaps of each pair, fragment by fragment; and where they are written.
 
     extra and missing are the member's differences to its pivot, for pivots with several members.
     """
     needed = pairs.select(F.col("p").alias("cid")).unionByName(pairs.select(F.col("m").alias("cid"))).distinct()
-    texts, _ = written(texts_by_set(docs, n).join(needed.hint("merge"), "cid", "left_semi").dropDuplicates(["cid"]), "join-texts")
+    texts, used = written(texts_by_set(docs, n).join(needed.hint("merge"), "cid", "left_semi").dropDuplicates(["cid"]), "join-texts")
     both = (
         pairs.join(texts, pairs["m"] == texts["cid"])
         .select("p", "m", F.pmod("m", F.lit(SALTS)).cast("int").alias("salt"), "several", "text")
@@ -329,8 +331,9 @@ def overlaps(docs: DataFrame, pairs: DataFrame, n: int = N) -> DataFrame:
         .sortWithinPartitions(*order)
         .mapInArrow(compare, "p long, m long, overlap long, extra array<long>, missing array<long>")
     )
-    out, _ = written(met, "join-overlaps")
-    return out
+    out, path = written(met, "join-overlaps")
+    remove(docs.sparkSession, used)
+    return out, path
 
 
 def _linked(overlap: F.Column, a: F.Column, b: F.Column, percent: int) -> F.Column:
@@ -340,12 +343,13 @@ def _linked(overlap: F.Column, a: F.Column, b: F.Column, percent: int) -> F.Colu
 def links(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """(u, v): linked sets; enough of them to connect all that are connected."""
     pairs = star_pairs(docs, n, percent)
-    parts = overlaps(docs, pairs, n)
+    parts, used = overlaps(docs, pairs, n)
     summed = parts.groupBy("p", "m").agg(
         F.sum("overlap").alias("overlap"), F.flatten(F.collect_list("extra")).alias("extra"), F.flatten(F.collect_list("missing")).alias("missing")
     )  # SLICES rows a pair
     tested = pairs.join(summed, ["p", "m"]).withColumn("linked", _linked(F.col("overlap"), F.col("n_p"), F.col("n_m"), percent))
     tested, _ = written(tested, "join-tested")
+    remove(docs.sparkSession, used)
     direct = tested.where("linked").select(F.col("p").alias("u"), F.col("m").alias("v"))
 
     loose = tested.where("several and not linked")
