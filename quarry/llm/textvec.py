@@ -21,7 +21,7 @@ SAME = np.arange(256, dtype=np.uint8)
 LOWER = SAME.copy()
 LOWER[65:91] += 32
 #: Bytes of text that one vectorised step works on; a longer document is a step of its own.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
