@@ -7,7 +7,9 @@ histograms over *all* documents labelled with it. A document's distance to a lan
 the Jensen-Shannon distance (square root of the divergence in bits, 0 to 1) of either
 histogram; its best language counts. Documents below MIN_CHARS or MIN_WORDS are too short to
 judge by either histogram and pass that part (the minimum-length guards); a document passes
-if the class distance is at most MAX_CLASS and the word distance at most MAX_WORDS.
+if the class distance is at most MAX_CLASS and the word distance at most word_bound(): the
+distance that as many words drawn from the reference are expected to have, and a margin. Few
+words are far from any reference by chance alone, many are not.
 
 Defined results: null or empty text has no words and fails the base rule; without any
 labelled document the references are those of all documents together; repeated rows agree;
@@ -16,6 +18,7 @@ an empty table gives an empty result; extra columns are kept by `kept_rows`.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +41,9 @@ CLASSES = ("lower", "upper", "digit", "space", "stop", "symbol", "accented", "ot
 SYMBOLS = b"#*$%&|<>"
 
 MIN_WORDS, MIN_CHARS = 100, 200
-MAX_CLASS, MAX_WORDS = 0.28, 0.345
+MAX_CLASS = 0.28
+#: Above the expected word distance: so many times it, or so much more, whichever is larger.
+WORD_FACTOR, WORD_MARGIN = 1.55, 0.1
 BASE_WORDS, BASE_REPEATS = 50, 50
 
 STATS = "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, classes array<int>, common array<int>"
@@ -146,10 +151,40 @@ def divergence(counts: np.ndarray, reference: np.ndarray) -> np.ndarray:
         return np.sqrt(np.clip((part(p) + part(q)) / 2, 0, 1))
 
 
+#: Numbers of words for which expected distances are worked out; between them they are interpolated.
+LENGTHS = np.geomspace(10, 1e6, 100)
+
+
+def expected_distance(reference: np.ndarray) -> np.ndarray:
+    """Jensen-Shannon distance to the reference that LENGTHS words drawn from it are expected to have.
+
+    Bins with few expected words are summed over Poisson counts; others have the quadratic limit.
+    """
+    q = reference[reference > 0] / max(reference.sum(), 1)
+    x = np.arange(200)
+    log_factorial = np.array([math.lgamma(k + 1) for k in x])
+    out = np.zeros(len(LENGTHS))
+    for k, n in enumerate(LENGTHS):
+        rare = q[n * q < 60][:, None]
+        chance = np.exp(x * np.log(n * rare) - n * rare - log_factorial)
+        p = x / n
+        m = (p + rare) / 2
+        part = np.where(x > 0, p * np.log2(np.where(x > 0, p, 1) / m), 0) + rare * np.log2(rare / m)
+        out[k] = (chance * part).sum() / 2 + ((1 - q[n * q >= 60]) / (8 * math.log(2) * n)).sum()
+    return np.sqrt(np.maximum(out, 0))
+
+
+def word_bound(expected: np.ndarray, n_words: np.ndarray) -> np.ndarray:
+    """Largest word distance that passes, by the expected distances of LENGTHS words."""
+    at = np.interp(np.log(np.maximum(n_words, 1)), np.log(LENGTHS), expected)
+    return np.maximum(WORD_FACTOR * at, at + WORD_MARGIN)
+
+
 def rules(docs: DataFrame) -> DataFrame:
     """doc_id, base figures, base_failed, kept, best language and both distances of each row."""
     figures, _ = written(stats(docs), "quality-stats")
     known = references(figures)
+    expected = [expected_distance(np.array(common, float)) for _, common in known.values()] or [np.zeros(len(LENGTHS))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -164,7 +199,7 @@ def rules(docs: DataFrame) -> DataFrame:
             figure = {c: b.column(c).to_numpy() for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")}
             failed = (figure["n_words"] < BASE_WORDS) | (100 * figure["n_repeat_words"] > BASE_REPEATS * figure["n_words"])
             far_class = (figure["word_chars"] >= MIN_CHARS) & (pick(by_class) > MAX_CLASS)
-            far_words = (figure["n_words"] >= MIN_WORDS) & (pick(by_word) > MAX_WORDS)
+            far_words = (figure["n_words"] >= MIN_WORDS) & (pick(by_word) > pick(np.array([word_bound(e, figure["n_words"]) for e in expected])))
             names = [*known, ""]
             columns = {"doc_id": b.column("doc_id"), **{c: pa.array(v) for c, v in figure.items()}}
             columns |= {"base_failed": pa.array(failed), "kept": pa.array(~(failed | far_class | far_words))}

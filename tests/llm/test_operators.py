@@ -89,6 +89,31 @@ def test_quality_rejects_symbols_and_keeps_prose(spark):
     assert quality.divergence(np.array([[4.0, 0.0], [0.0, 3.0], [0.0, 0.0]]), np.array([0.0, 9.0])).round(6).tolist() == [1.0, 0.0, round(0.5**0.5, 6)]
 
 
+def test_quality_word_bound_follows_length(spark):
+    """Labelled lists of words go at lengths where the distance tells them; labelled clean text of every length stays."""
+    folder = "/root/testdata/sf0.01"
+    table = spark.read.parquet(f"{folder}/documents.parquet")
+    label = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    lists = {r["doc_id"] for r in table.where("text like '% | %'").select("doc_id").collect()}
+    got = [r for r in quality.rules(table).collect() if not r["base_failed"] and r["doc_id"] in label]
+    junk = [r["kept"] for r in got if label[r["doc_id"]] == 0 and r["doc_id"] in lists and r["n_words"] >= 200]
+    assert len(junk) > 2 and not any(junk)
+    # Document 39 is half French and half English (0.352 of 116 words); the flat bound of 0.345 rejected it as well.
+    assert {r["doc_id"] for r in got if label[r["doc_id"]] == 1 and not r["kept"]} <= {39}
+
+
+def test_quality_expected_distance():
+    """Samples drawn from a reference have the expected distance, and the bound above it falls with length."""
+    reference = np.array([5000.0, 3000, 900, 300, 40, 7, 1, 0])
+    expected, rng = quality.expected_distance(reference), np.random.default_rng(3)
+    for n in (60, 300, 3000, 50000):
+        drawn = quality.divergence(rng.multinomial(n, reference / reference.sum(), 2000).astype(float), reference)
+        at = np.interp(np.log(n), np.log(quality.LENGTHS), expected)
+        assert abs(np.sqrt((drawn**2).mean()) / at - 1) < 0.1
+    bound = quality.word_bound(expected, np.array([0, 100, 1000, 10**7]))
+    assert (np.diff(bound) < 0).all()
+
+
 def test_mixing(docs, empty):
     weigh = mixing.mix(docs).collect()
     sizes = collections.Counter()
