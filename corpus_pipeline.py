@@ -8,19 +8,13 @@ folder and reads them again, so that a lost executor costs a stage and not the p
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quarry.llm import exact_dedup, mixing, ngram_join, packing, quality
 from quarry.llm.common import documents, written
 
-#: An added column of the stages; its name is unlikely in a table of documents.
-ID = "_stage_id"
-
-
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules keep. Equal (doc_id, text) rows are judged alike."""
-    bad = quality.rules(docs).where("not kept").select(F.col("doc_id").alias(ID)).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad[ID]), "left_anti")
+    """Documents that the rules keep; each row is judged for itself, whatever its doc_id."""
+    return quality.kept_rows(docs)
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,10 +23,16 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of documents linked by five-word shingles at 0.8 or more the one with the smallest doc_id; unlinked ones all stay."""
-    found = ngram_join.join(docs)
-    gone = found.where("n_shingles > 0 and component_id is not null and not doc_id <=> component_id").select(F.col("doc_id").alias(ID)).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone[ID]), "left_anti")
+    """Of each component of documents linked by five-word shingles at 0.8 or more the one with the smallest doc_id; unlinked ones all stay.
+
+    A row is told by doc_id and text, which the stage before leaves once at most.
+    """
+    gone, keys = ngram_join.redundant(docs), ngram_join.TEXT_KEY
+    rows = ngram_join.with_text_key(docs)
+    same = rows["doc_id"].eqNullSafe(gone["doc_id"])
+    for c in keys:
+        same &= rows[c] == gone[c]
+    return rows.join(gone, same, "left_anti").drop(*keys)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -182,17 +182,19 @@ def _fresh(cid: np.ndarray, sizes: np.ndarray, seen: set) -> np.ndarray:
     return out
 
 
-def members(docs: DataFrame, n: int = N) -> DataFrame:
-    """doc_id, n_shingles and the two names of each row's set."""
+def members(docs: DataFrame, n: int = N, extra: str = "") -> DataFrame:
+    """doc_id, n_shingles and the two names of each row's set; extra: further columns of docs, as a schema of longs."""
+    more = [c.split()[0] for c in extra.split(", ") if c]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi, w in textvec.chunks(b.column(1), textvec.LOWER):
                 _, grams, sizes = sets(w, n)
                 cid, check = names(grams, sizes)
-                yield pa.RecordBatch.from_arrays([b.column(0)[lo:hi], pa.array(sizes.astype(np.int64)), pa.array(cid), pa.array(check)], names=["doc_id", "n", "cid", "second"])
+                own = [b.column(2 + k)[lo:hi] for k in range(len(more))]
+                yield pa.RecordBatch.from_arrays([b.column(0)[lo:hi], pa.array(sizes.astype(np.int64)), pa.array(cid), pa.array(check), *own], names=["doc_id", "n", "cid", "second", *more])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, cid long, second long")
+    return docs.select(F.col("doc_id").cast("long"), "text", *more).mapInArrow(run, "doc_id long, n long, cid long, second long" + f", {extra}" * bool(extra))
 
 
 def keyed(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
@@ -390,12 +392,43 @@ def links(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     return direct.unionByName(more)
 
 
+#: What tells texts of one doc_id apart: 128 bits of the text. The names are unlikely in a table of documents.
+TEXT_KEY = ("_text_key", "_text_key_2")
+
+
+def with_text_key(docs: DataFrame) -> DataFrame:
+    return docs.withColumns({TEXT_KEY[0]: F.xxhash64("text"), TEXT_KEY[1]: F.xxhash64(F.lit(1), "text")})
+
+
+def redundant(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, *TEXT_KEY) of the rows with n-grams that are not their component's first.
+
+    The first has the smallest doc_id, null last, and of one doc_id the smallest text key.
+    """
+    rows = _components(with_text_key(docs), n, percent, TEXT_KEY)
+    is_first = F.lit(True)
+    for c in ("doc_id", *TEXT_KEY):
+        is_first &= F.col(c).eqNullSafe(F.col(f"component.{c}"))
+    return rows.where((F.col("n") > 0) & ~is_first).select("doc_id", *TEXT_KEY).distinct()
+
+
 def join(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and the class of equal sets of each row."""
+    return _components(docs, n, percent).select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.col("cid").alias("class_id"),
+    )
+
+
+def _components(docs: DataFrame, n: int, percent: int, text_key: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n, cid and component of each row: the component's least doc_id or, given a text key, its first row as a struct."""
     small_batches(docs.sparkSession)
     labels = components(links(docs, n, percent))
-    rows = members(docs, n).withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
-    local = rows.where("n > 0").groupBy("cid", "salt").agg(F.min("doc_id").alias("least"), F.min("second").alias("low"), F.max("second").alias("high"))
+    rows = members(docs, n, ", ".join(f"{c} long" for c in text_key)).withColumn("salt", F.pmod(F.xxhash64("doc_id", *text_key), F.lit(SALTS)).cast("int"))
+    least = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *text_key) if text_key else F.col("doc_id")
+    local = rows.where("n > 0").groupBy("cid", "salt").agg(F.min(least).alias("least"), F.min("second").alias("low"), F.max("second").alias("high"))
     local, _ = written(local, "join-local")
     classes = local.groupBy("cid").agg(F.min("least").alias("least"), F.min("low").alias("low"), F.max("high").alias("high"))
     classes = classes.select(
@@ -405,9 +438,4 @@ def join(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     best = named.groupBy("label").agg(F.min("least").alias("component"))
     named, _ = written(named.join(best, "label").select("cid", "component"), "join-classes")
     spread = local.select("cid", "salt").join(named, "cid")
-    return rows.join(spread, ["cid", "salt"], "left").select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.col("cid").alias("class_id"),
-    )
+    return rows.join(spread, ["cid", "salt"], "left").select("doc_id", "n", "cid", *text_key, "component")

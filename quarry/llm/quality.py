@@ -19,7 +19,7 @@ an empty table gives an empty result; extra columns are kept by `kept_rows`.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +46,7 @@ MAX_CLASS = 0.28
 WORD_FACTOR, WORD_MARGIN = 1.55, 0.1
 BASE_WORDS, BASE_REPEATS = 50, 50
 
+FIGURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 STATS = "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, classes array<int>, common array<int>"
 
 
@@ -99,35 +100,38 @@ def _bins() -> tuple[np.ndarray, np.ndarray]:
     return np.array([h for h, _ in pairs], np.uint64), np.array([k for _, k in pairs])
 
 
+def measure(texts: pa.Array, known: np.ndarray, bins: np.ndarray) -> Iterator[tuple[int, int, dict[str, np.ndarray], np.ndarray, np.ndarray]]:
+    """Row ranges of texts with their base figures and both histograms."""
+    for lo, hi, w in textvec.chunks(texts):
+        n = hi - lo
+        solid = ~w.space
+        classes = np.zeros((n, len(CLASSES)), np.int32)
+        kinds = BYTE_CLASS[w.data]
+        for k in range(len(CLASSES)):
+            classes[:, k] = w.per_doc(kinds == k)
+        common = np.zeros((n, len(BINS) + 1), np.int32)
+        if len(w.hash):
+            at = np.minimum(np.searchsorted(known, w.hash), len(known) - 1)
+            column = np.where(known[at] == w.hash, bins[at], len(BINS))
+            common = np.bincount(w.doc * (len(BINS) + 1) + column, minlength=common.size).reshape(common.shape).astype(np.int32)
+        figures = {
+            "n_words": w.count.astype(np.int64), "word_chars": w.per_doc(solid & ((w.data & 0xC0) != 0x80)), "n_symbols": w.per_doc(SYMBOL[w.data]),
+            "n_dup_lines": np.array([duplicate_lines(t) for t in texts[lo:hi].to_pylist()], np.int64), "n_repeat_words": repeat_words(w, n).astype(np.int64),
+        }
+        yield lo, hi, figures, classes, common
+
+
 def stats(docs: DataFrame) -> DataFrame:
     """The base figures and both histograms of each row, in one pass over whole texts."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, bins = _bins()
+        wide = lambda m: pa.ListArray.from_arrays(np.arange(0, m.size + 1, m.shape[1], dtype=np.int32), m.ravel())
         for b in batches:
-            texts = b.column(2)
-            for lo, hi, w in textvec.chunks(texts):
-                n = hi - lo
-                solid = ~w.space
-                classes = np.zeros((n, len(CLASSES)), np.int32)
-                kinds = BYTE_CLASS[w.data]
-                for k in range(len(CLASSES)):
-                    classes[:, k] = w.per_doc(kinds == k)
-                common = np.zeros((n, len(BINS) + 1), np.int32)
-                if len(w.hash):
-                    at = np.minimum(np.searchsorted(known, w.hash), len(known) - 1)
-                    column = np.where(known[at] == w.hash, bins[at], len(BINS))
-                    common = np.bincount(w.doc * (len(BINS) + 1) + column, minlength=common.size).reshape(common.shape).astype(np.int32)
-                wide = lambda m: pa.ListArray.from_arrays(np.arange(0, m.size + 1, m.shape[1], dtype=np.int32), m.ravel())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        b.column(0)[lo:hi], b.column(1)[lo:hi], pa.array(w.count.astype(np.int64)), pa.array(w.per_doc(solid & ((w.data & 0xC0) != 0x80))),
-                        pa.array(w.per_doc(SYMBOL[w.data])), pa.array([duplicate_lines(t) for t in texts[lo:hi].to_pylist()], pa.int64()),
-                        pa.array(repeat_words(w, n).astype(np.int64)), wide(classes), wide(common),
-                    ],
-                    names=["doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "classes", "common"],
-                )
+            for lo, hi, figures, classes, common in measure(b.column(2), known, bins):
+                columns = {"doc_id": b.column(0)[lo:hi], "lang": b.column(1)[lo:hi], **{c: pa.array(v) for c, v in figures.items()}}
+                yield pa.RecordBatch.from_pydict(columns | {"classes": wide(classes), "common": wide(common)})
 
     return docs.select(F.col("doc_id").cast("long"), "lang", "text").mapInArrow(run, STATS)
 
@@ -180,31 +184,63 @@ def word_bound(expected: np.ndarray, n_words: np.ndarray) -> np.ndarray:
     return np.maximum(WORD_FACTOR * at, at + WORD_MARGIN)
 
 
+References = dict[str, tuple[list[int], list[int]]]
+
+
+def judge(known: References) -> Callable[[dict[str, np.ndarray], np.ndarray, np.ndarray], dict[str, np.ndarray]]:
+    """The verdict on rows by their figures and histograms."""
+    expected = [expected_distance(np.array(common, float)) for _, common in known.values()] or [np.zeros(len(LENGTHS))]
+    names = np.array([*known, ""], object)
+
+    def verdict(figure: dict[str, np.ndarray], classes: np.ndarray, common: np.ndarray) -> dict[str, np.ndarray]:
+        n = len(classes)
+        by_class, by_word = np.ones((len(expected), n)), np.ones((len(expected), n))
+        for k, reference in enumerate(known.values()):
+            by_class[k] = divergence(classes.astype(float), np.array(reference[0], float))
+            by_word[k] = divergence(common.astype(float), np.array(reference[1], float))
+        best = (by_class + by_word).argmin(0)
+        pick = lambda m: m[best, np.arange(n)]
+        failed = (figure["n_words"] < BASE_WORDS) | (100 * figure["n_repeat_words"] > BASE_REPEATS * figure["n_words"])
+        far_class = (figure["word_chars"] >= MIN_CHARS) & (pick(by_class) > MAX_CLASS)
+        bound = pick(np.array([word_bound(e, figure["n_words"]) for e in expected]))
+        far_words = (figure["n_words"] >= MIN_WORDS) & (pick(by_word) > bound)
+        return {
+            "base_failed": failed, "kept": ~(failed | far_class | far_words), "nearest": names[best],
+            "class_distance": pick(by_class), "word_distance": pick(by_word),
+        }
+
+    return verdict
+
+
 def rules(docs: DataFrame) -> DataFrame:
     """doc_id, base figures, base_failed, kept, best language and both distances of each row."""
     figures, _ = written(stats(docs), "quality-stats")
-    known = references(figures)
-    expected = [expected_distance(np.array(common, float)) for _, common in known.values()] or [np.zeros(len(LENGTHS))]
+    verdict = judge(references(figures))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n = b.num_rows
-            matrix = lambda c: b.column(c).flatten().to_numpy(zero_copy_only=False).reshape(n, -1).astype(np.float64)  # noqa: E731, B023
-            by_class, by_word = np.ones((max(1, len(known)), n)), np.ones((max(1, len(known)), n))
-            for k, (classes, common) in enumerate(known.values()):
-                by_class[k] = divergence(matrix("classes"), np.array(classes, float))
-                by_word[k] = divergence(matrix("common"), np.array(common, float))
-            best = (by_class + by_word).argmin(0)
-            pick = lambda m: m[best, np.arange(n)]  # noqa: E731, B023
-            figure = {c: b.column(c).to_numpy() for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")}
-            failed = (figure["n_words"] < BASE_WORDS) | (100 * figure["n_repeat_words"] > BASE_REPEATS * figure["n_words"])
-            far_class = (figure["word_chars"] >= MIN_CHARS) & (pick(by_class) > MAX_CLASS)
-            far_words = (figure["n_words"] >= MIN_WORDS) & (pick(by_word) > pick(np.array([word_bound(e, figure["n_words"]) for e in expected])))
-            names = [*known, ""]
+            matrix = lambda c: b.column(c).flatten().to_numpy(zero_copy_only=False).reshape(n, -1)  # noqa: E731, B023
+            figure = {c: b.column(c).to_numpy() for c in FIGURES}
+            found = verdict(figure, matrix("classes"), matrix("common"))
             columns = {"doc_id": b.column("doc_id"), **{c: pa.array(v) for c, v in figure.items()}}
-            columns |= {"base_failed": pa.array(failed), "kept": pa.array(~(failed | far_class | far_words))}
-            columns |= {"nearest": pa.array([names[k] for k in best], pa.string()), "class_distance": pa.array(pick(by_class)), "word_distance": pa.array(pick(by_word))}
-            yield pa.RecordBatch.from_pydict(columns)
+            yield pa.RecordBatch.from_pydict(columns | {c: pa.array(v, pa.string() if c == "nearest" else None) for c, v in found.items()})
 
     kinds = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
     return figures.mapInArrow(run, kinds + ", base_failed boolean, kept boolean, nearest string, class_distance double, word_distance double")
+
+
+def kept_rows(docs: DataFrame) -> DataFrame:
+    """The rows of docs that the rules keep, with docs' own columns.
+
+    Each row is judged where it lies, in a second pass over the texts, and so needs no id.
+    """
+    verdict, at = judge(references(stats(docs))), docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, bins = _bins()
+        for b in batches:
+            for lo, hi, *found in measure(b.column(at), known, bins):
+                yield b.slice(lo, hi - lo).filter(pa.array(verdict(*found)["kept"]))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -1,6 +1,7 @@
 """Registered queries with SQL, and the pipeline against a brute-force version."""
 
 import collections
+import random
 
 import pytest
 from compare import SF, duck_rows, spark_rows
@@ -41,6 +42,32 @@ def test_stages_against_brute_force(spark):
     check_packing([(r["doc_id"], r["text"]) for r in four.collect()], corpus_pipeline.packed(spark, four, SF).collect())
 
 
+def test_stages_drop_rows_and_not_namesakes(spark):
+    """Null ids, and one doc_id on different texts."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = {r["doc_id"] for r in quality.rules(docs).where("kept").select("doc_id").collect()}
+    rows = docs.orderBy("doc_id").limit(40).collect()
+    for same in (None, 7):
+        one = docs.where(docs["doc_id"] < rows[-1]["doc_id"]).selectExpr(f"cast({'null' if same is None else same} as long) as doc_id", "text", "lang", "source", "doc_id as n_chars")
+        both = one.unionByName(docs.where(docs["doc_id"] >= rows[-1]["doc_id"]).selectExpr("doc_id", "text", "lang", "source", "doc_id as n_chars"))
+        assert {r["n_chars"] for r in corpus_pipeline.quality_rules(spark, both, SF).collect()} == kept
+
+    rng = random.Random(5)
+    prose = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(120))
+    a, b, c, d, e = (prose() for _ in range(5))
+    near = [
+        (None, a, 1), (None, a + " x", 2),  # near copies without an id: one stays
+        (5, b, 3), (None, b + " x", 4), (None, c, 5),  # a null-id member goes, another null-id text stays
+        (8, d, 6), (3, d + " x", 7), (8, e, 8), (9, e + " x", 9),  # 8 goes as a copy of 3, its namesake represents 9
+        (1, prose(), 10), (1, prose(), 11), (2, d + " y", 12), (2, d + " z", 13),  # namesakes that differ; near copies that share the least id
+    ]
+    table = spark.createDataFrame([(i, t, "en", "a", k) for i, t, k in near], SCHEMA)
+    left = corpus_pipeline.near_duplicates(spark, table, SF)
+    found = sorted(r["n_chars"] for r in left.collect())
+    assert left.columns == table.columns
+    assert len({1, 2} & set(found)) == len({12, 13} & set(found)) == 1 and [k for k in found if k not in (1, 2, 12, 13)] == [3, 5, 8, 10, 11]
+
+
 def test_stages_of_awkward_tables(spark):
     for rows in ([], [(None, None, None, None, None)], [(1, "", None, None, 0), (1, "", None, None, 0)]):
         docs = spark.createDataFrame(rows, SCHEMA)
