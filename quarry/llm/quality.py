@@ -2,10 +2,11 @@
 
 One pass over whole texts counts, for each document, the base figures, a histogram of
 character classes and one of common words (fixed short lists of function words of four
-languages, and everything else). The references of a language are the sums of those
+languages, as many of the most frequent words of each other language that documents are
+labelled with, and everything else). The references of a language are the sums of those
 histograms over *all* documents labelled with it. A document's distance to a language is
 the Jensen-Shannon distance (square root of the divergence in bits, 0 to 1) of either
-histogram; its best language counts. Documents below MIN_CHARS or MIN_WORDS are too short to
+histogram; its best language counts. Work and columns grow with the number of languages. Documents below MIN_CHARS or MIN_WORDS are too short to
 judge by either histogram and pass that part (the minimum-length guards); a document passes
 if the class distance is at most MAX_CLASS and the word distance at most word_bound(): the
 distance that as many words drawn from the reference are expected to have, and a margin. Few
@@ -23,7 +24,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm import textvec
@@ -36,7 +37,8 @@ COMMON = {
     "fr": "de la le et les des en un du une que est pour qui dans a par plus pas au sur ne se ce il sont la mais comme ou si leur y dont aux elle cette son ont".split(),
     "es": "de la que el en y a los del se las por un para con no una su al lo como más pero sus le ya o este sí porque esta entre cuando muy sin sobre también me hasta hay donde".split(),
 }
-BINS = sorted({w for words in COMMON.values() for w in words})
+#: Words taken from the documents of a language without a list.
+LEARNED = 45
 CLASSES = ("lower", "upper", "digit", "space", "stop", "symbol", "accented", "other")
 SYMBOLS = b"#*$%&|<>"
 
@@ -61,6 +63,7 @@ def _class_table() -> np.ndarray:
     return out
 
 
+References = dict[str, tuple[list[int], list[int]]]
 BYTE_CLASS = _class_table()
 SYMBOL = np.zeros(256, bool)
 SYMBOL[list(SYMBOLS)] = True
@@ -94,14 +97,24 @@ def repeat_words(w: textvec.Words, n: int) -> np.ndarray:
     return np.bincount(w.doc[covered], minlength=n)
 
 
-def _bins() -> tuple[np.ndarray, np.ndarray]:
+def common_words(docs: DataFrame) -> list[str]:
+    """The words of all lists and, for each other non-null language, its LEARNED most frequent words; sorted."""
+    other = docs.where(F.col("lang").isNotNull() & ~F.col("lang").isin(*COMMON))
+    words = other.select("lang", F.explode(F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))).alias("word"))
+    counts = words.groupBy("lang", F.lower("word").alias("word")).agg(F.count(F.lit(1)).alias("n"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))  # each task keeps its first ones
+    learned = counts.withColumn("place", place).where(F.col("place") <= LEARNED).select("word").distinct()
+    return sorted({w for words in COMMON.values() for w in words} | {r["word"] for r in learned.collect()})  # LEARNED rows a language
+
+
+def _bins(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Sorted hashes of the common words, small and capitalised, with their bins."""
-    pairs = sorted((textvec.word_hash(form.encode()), k) for k, word in enumerate(BINS) for form in {word, word.capitalize()})
+    pairs = sorted({textvec.word_hash(form.encode()): k for k, word in enumerate(words) for form in (word.capitalize(), word)}.items())
     return np.array([h for h, _ in pairs], np.uint64), np.array([k for _, k in pairs])
 
 
-def measure(texts: pa.Array, known: np.ndarray, bins: np.ndarray) -> Iterator[tuple[int, int, dict[str, np.ndarray], np.ndarray, np.ndarray]]:
-    """Row ranges of texts with their base figures and both histograms."""
+def measure(texts: pa.Array, known: np.ndarray, bins: np.ndarray, size: int) -> Iterator[tuple[int, int, dict[str, np.ndarray], np.ndarray, np.ndarray]]:
+    """Row ranges of texts with their base figures and both histograms; size: number of common words."""
     for lo, hi, w in textvec.chunks(texts):
         n = hi - lo
         solid = ~w.space
@@ -109,11 +122,11 @@ def measure(texts: pa.Array, known: np.ndarray, bins: np.ndarray) -> Iterator[tu
         kinds = BYTE_CLASS[w.data]
         for k in range(len(CLASSES)):
             classes[:, k] = w.per_doc(kinds == k)
-        common = np.zeros((n, len(BINS) + 1), np.int32)
+        common = np.zeros((n, size + 1), np.int32)
         if len(w.hash):
             at = np.minimum(np.searchsorted(known, w.hash), len(known) - 1)
-            column = np.where(known[at] == w.hash, bins[at], len(BINS))
-            common = np.bincount(w.doc * (len(BINS) + 1) + column, minlength=common.size).reshape(common.shape).astype(np.int32)
+            column = np.where(known[at] == w.hash, bins[at], size)
+            common = np.bincount(w.doc * (size + 1) + column, minlength=common.size).reshape(common.shape).astype(np.int32)
         figures = {
             "n_words": w.count.astype(np.int64), "word_chars": w.per_doc(solid & ((w.data & 0xC0) != 0x80)), "n_symbols": w.per_doc(SYMBOL[w.data]),
             "n_dup_lines": np.array([duplicate_lines(t) for t in texts[lo:hi].to_pylist()], np.int64), "n_repeat_words": repeat_words(w, n).astype(np.int64),
@@ -121,28 +134,27 @@ def measure(texts: pa.Array, known: np.ndarray, bins: np.ndarray) -> Iterator[tu
         yield lo, hi, figures, classes, common
 
 
-def stats(docs: DataFrame) -> DataFrame:
+def stats(docs: DataFrame, words: list[str]) -> DataFrame:
     """The base figures and both histograms of each row, in one pass over whole texts."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, bins = _bins()
+        known, bins = _bins(words)
         wide = lambda m: pa.ListArray.from_arrays(np.arange(0, m.size + 1, m.shape[1], dtype=np.int32), m.ravel())
         for b in batches:
-            for lo, hi, figures, classes, common in measure(b.column(2), known, bins):
+            for lo, hi, figures, classes, common in measure(b.column(2), known, bins, len(words)):
                 columns = {"doc_id": b.column(0)[lo:hi], "lang": b.column(1)[lo:hi], **{c: pa.array(v) for c, v in figures.items()}}
                 yield pa.RecordBatch.from_pydict(columns | {"classes": wide(classes), "common": wide(common)})
 
     return docs.select(F.col("doc_id").cast("long"), "lang", "text").mapInArrow(run, STATS)
 
 
-def references(figures: DataFrame) -> dict[str, tuple[list[int], list[int]]]:
-    """For each known language the sums of both histograms over all its documents."""
-    lang = F.when(F.col("lang").isin(*COMMON), F.col("lang")).otherwise(F.lit(""))
-    sums = [F.sum(F.col(c)[k].cast("long")).alias(f"{c}{k}") for c, n in (("classes", len(CLASSES)), ("common", len(BINS) + 1)) for k in range(n)]
-    rows = figures.groupBy(lang.alias("lang")).agg(*sums).collect()  # a row a known language
-    found = {r["lang"]: ([r[f"classes{k}"] for k in range(len(CLASSES))], [r[f"common{k}"] for k in range(len(BINS) + 1)]) for r in rows}
-    return {k: v for k, v in found.items() if k} or found
+def references(figures: DataFrame, size: int) -> References:
+    """For each language, in order, the sums of both histograms over all documents labelled with it; without any label "" has all."""
+    sums = [F.sum(F.col(c)[k].cast("long")).alias(f"{c}{k}") for c, n in (("classes", len(CLASSES)), ("common", size + 1)) for k in range(n)]
+    rows = figures.groupBy("lang").agg(*sums).collect()  # a row a language
+    found = {r["lang"]: ([r[f"classes{k}"] for k in range(len(CLASSES))], [r[f"common{k}"] for k in range(size + 1)]) for r in rows}
+    return {k: found[k] for k in sorted(k for k in found if k is not None)} or {"": v for v in found.values()}
 
 
 def divergence(counts: np.ndarray, reference: np.ndarray) -> np.ndarray:
@@ -184,9 +196,6 @@ def word_bound(expected: np.ndarray, n_words: np.ndarray) -> np.ndarray:
     return np.maximum(WORD_FACTOR * at, at + WORD_MARGIN)
 
 
-References = dict[str, tuple[list[int], list[int]]]
-
-
 def judge(known: References) -> Callable[[dict[str, np.ndarray], np.ndarray, np.ndarray], dict[str, np.ndarray]]:
     """The verdict on rows by their figures and histograms."""
     expected = [expected_distance(np.array(common, float)) for _, common in known.values()] or [np.zeros(len(LENGTHS))]
@@ -214,8 +223,9 @@ def judge(known: References) -> Callable[[dict[str, np.ndarray], np.ndarray, np.
 
 def rules(docs: DataFrame) -> DataFrame:
     """doc_id, base figures, base_failed, kept, best language and both distances of each row."""
-    figures, _ = written(stats(docs), "quality-stats")
-    verdict = judge(references(figures))
+    words = common_words(docs)
+    figures, _ = written(stats(docs, words), "quality-stats")
+    verdict = judge(references(figures, len(words)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -235,12 +245,13 @@ def kept_rows(docs: DataFrame) -> DataFrame:
 
     Each row is judged where it lies, in a second pass over the texts, and so needs no id.
     """
-    verdict, at = judge(references(stats(docs))), docs.columns.index("text")
+    words = common_words(docs)
+    verdict, at = judge(references(stats(docs, words), len(words))), docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, bins = _bins()
+        known, bins = _bins(words)
         for b in batches:
-            for lo, hi, *found in measure(b.column(at), known, bins):
+            for lo, hi, *found in measure(b.column(at), known, bins, len(words)):
                 yield b.slice(lo, hi - lo).filter(pa.array(verdict(*found)["kept"]))
 
     return docs.mapInArrow(run, docs.schema)

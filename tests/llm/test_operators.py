@@ -102,6 +102,25 @@ def test_quality_word_bound_follows_length(spark):
     assert {r["doc_id"] for r in got if label[r["doc_id"]] == 1 and not r["kept"]} <= {39}
 
 
+def test_quality_keeps_languages_without_a_list(spark):
+    """Clean text of a fifth and a sixth language, Cyrillic and Latin, stays next to the four; lists and symbols labelled with them go."""
+    from compare import SF
+
+    rng = random.Random(11)
+    made = []
+    for lang, letters in (("ru", "абвгдежзиклмнопрстуя"), ("pl", "abcdegiklmnoprstuwyz")):
+        word = lambda n: "".join(rng.choice(letters) for _ in range(n))  # noqa: E731, B023
+        common, rare = [word(3) for _ in range(20)], [word(7) for _ in range(3000)]
+        clean = [" ".join(rng.choice(common if rng.random() < 0.5 else rare) for _ in range(400)) for _ in range(40)]
+        junk = [" | ".join(rng.choice(rare) for _ in range(400)), " ".join(rng.choice("#*$%&|<>") * 3 + rng.choice(rare)[:1] for _ in range(400))]
+        made += [(lang, k < 40, t) for k, t in enumerate(clean + junk)]
+    rows = [(10**6 + k, t, lang, "a", 0) for k, (lang, _, t) in enumerate(made)]
+    table = spark.read.parquet(f"{SF}/documents.parquet").unionByName(spark.createDataFrame(rows, SCHEMA))
+    got = {r["doc_id"]: r for r in quality.rules(table).where("doc_id >= 1000000").collect()}
+    assert [got[10**6 + k]["kept"] for k in range(len(made))] == [clean for _, clean, _ in made]
+    assert all(got[10**6 + k]["nearest"] == lang for k, (lang, clean, _) in enumerate(made) if clean)
+
+
 def test_quality_expected_distance():
     """Samples drawn from a reference have the expected distance, and the bound above it falls with length."""
     reference = np.array([5000.0, 3000, 900, 300, 40, 7, 1, 0])
