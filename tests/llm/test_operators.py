@@ -335,6 +335,19 @@ def test_hilbert(docs, empty):
     assert hilbert.shards(empty).count() == 0
 
 
+def test_hilbert_files_hold_every_row_and_column(spark, docs, tmp_path):
+    hilbert.write_shards(docs, f"file://{tmp_path}/shards", 4)
+    back = spark.read.parquet(f"file://{tmp_path}/shards")
+    assert set(docs.columns) <= set(back.columns) and len(back.columns) == len(docs.columns) + 3
+    plain = lambda df: sorted(repr(tuple(r)) for r in df.select(*docs.columns).collect())
+    assert plain(back) == plain(docs)
+    places = [tuple(r) for r in back.select("hilbert_shard", "hilbert_slot", "hilbert_place").collect()]
+    assert sorted(places) == sorted((r["shard"], r["slot"], r["place"]) for r in hilbert.shards(docs, 4).collect())
+    for shard in range(4):
+        slots = [r[0] for r in spark.read.parquet(f"file://{tmp_path}/shards/hilbert_shard={shard}").select("hilbert_slot").collect()]
+        assert slots == sorted(slots) and slots
+
+
 def test_language_id(spark, docs, empty):
     got = language_id.identify(docs).collect()
     by_text = {repr(r["doc_id"]): r for r in got}
