@@ -8,8 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows in one Arrow batch. Documents can be long, so batches are kept small.
-ARROW_ROWS = 1000
+#: Rows and bytes in one Arrow batch. Documents can be long, so batches are kept small; a longer row is a batch of its own.
+ARROW_ROWS, ARROW_BYTES = 4000, 8 << 20
 #: Spark's setting to drop an execution's shuffle files when it ends, and not at some later garbage collection.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -19,10 +19,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound the rows of an Arrow batch, so that long documents cannot fill a worker."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > ARROW_ROWS:
-        spark.conf.set(key, str(ARROW_ROWS))
+    """Bound the rows and bytes of an Arrow batch, so that long documents cannot fill a worker.
+
+    The settings are read when a job is planned, after the operator has returned, so they stay.
+    """
+    for key, most in (("maxRecordsPerBatch", ARROW_ROWS), ("maxBytesPerBatch", ARROW_BYTES)):
+        now = int(str(spark.conf.get(f"spark.sql.execution.arrow.{key}")).rstrip("bB"))
+        if now <= 0 or now > most:
+            spark.conf.set(f"spark.sql.execution.arrow.{key}", str(most))
 
 
 def shared_dir(spark: SparkSession) -> str:

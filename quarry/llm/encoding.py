@@ -1,26 +1,54 @@
-"""Token ids of whole texts by the tokenizers library, with its results cached by word.
-
-A byte-level BPE never merges across the pieces of its pre-tokenizer, and a single space
-after a character that is no white space always begins a piece. So a text is cut there,
-each part is encoded by the library once, and the ids of the parts are joined. New parts are
-encoded as one text; there a part begins at each token that begins with a space, since parts
-hold no other space. A text with
-a special token, or with white space around a space, is encoded by the library as a whole.
+"""Token ids of whole texts by the tokenizers library, vectorised over the parts of many texts.
+
+A byte-level BPE never merges across the pieces of its pre-tokenizer. Texts are cut, with
+numpy, at places where a piece surely begins whatever stands around:
+
+- before a space that follows a character that is no white space;
+- between an ASCII letter and one of CLOSERS behind it;
+- before a line feed after an ASCII character that is no white space, and behind such a
+  line feed if an ASCII letter follows (a single one, so that it is a piece of its own).
+
+The parts tile the text. Arrow's dictionary encoding finds the distinct parts of a chunk,
+the library encodes those not yet remembered, and the ids are gathered for all parts at
+once. Parts that are letters with at most one space before them are one piece each, so the
+library's model gets them without its pre-tokenizer, many in one call; all others pass
+through the unchanged tokenizer. A text with a special token is encoded as a whole, as is
+every text if the tokenizer's pre-tokenizer or normaliser is of another kind than the rules above are for.
+
+Defined results: null and empty texts have no ids of their own (with `end`, the end id alone).
+A worker remembers MEMORY bytes of parts at most and then starts afresh; parts of more than
+LONG bytes are not remembered.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+
+from quarry.llm.textvec import buffers
 
-#: Parts that a worker remembers; beyond it the memory starts afresh.
-REMEMBER = 700_000
-END = (2).to_bytes(4, "little")
-#: White space of the pre-tokenizer (Unicode White_Space).
-BLANKS = "\t\n\x0b\x0c\r \x85\xa0                　"
-AROUND = tuple(b + " " for b in BLANKS)
+#: Bytes of text in one vectorised step; a longer text is a step of its own.
+CHUNK = 4 << 20
+#: Bytes of remembered parts (with about 150 a part for the tables), and the longest one.
+MEMORY, LONG = 96 << 20, 64
+END = 2
+#: Marks that end a run of letters and begin a piece: the ASCII marks but the apostrophe.
+CLOSERS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Letters, after at most one space, whose part is one piece: ASCII and the accented Latin ones.
+PLAIN = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ſ]+")
+
+BLANK = np.zeros(256, bool)
+BLANK[[0x20, *range(0x09, 0x0E), *range(0x1C, 0x20)]] = True
+LETTER = np.zeros(256, bool)
+LETTER[[*range(65, 91), *range(97, 123)]] = True
+CLOSER = np.zeros(256, bool)
+CLOSER[list(CLOSERS)] = True
 
 
 def default_tokenizer() -> str:
@@ -29,46 +57,156 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-@lru_cache(maxsize=2)
-def _loaded(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+def byte_letters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary: printable ones for themselves, others from 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Places in data, ascending and with both ends, where parts begin; every text begins one."""
+    n = len(data)
+    begins = np.zeros(n + 1, bool)
+    begins[offsets] = True
+    if n > 1:
+        here, before = data[1:], data[:-1]
+        plain = (before < 0x80) & ~BLANK[before]
+        # A character of more bytes may be white space; only lead bytes that begin none are told here.
+        lead = np.zeros(n - 1, bool)
+        lead[1:] = (before[1:] >= 0x80) & (before[:-1] >= 0xC3) & (before[:-1] < 0xE0)
+        # The byte before must belong to the same text.
+        same = ~begins[1:n]
+        begins[1:n] |= same & (here == 0x20) & (plain | lead)
+        begins[1:n] |= same & CLOSER[here] & LETTER[before]
+        line = same & (here == 0x0A) & plain
+        begins[1:n] |= line
+        begins[2:n] |= line[:-1] & same[1:] & LETTER[data[2:]]
+    return np.flatnonzero(begins)
 
-    tokenizer = Tokenizer.from_file(path)
-    spaced = np.zeros(max(tokenizer.get_vocab().values()) + 1, bool)
-    spaced[[i for t, i in tokenizer.get_vocab().items() if t[0] == "\u0120"]] = True  # how byte-level vocabularies write a space
-    return tokenizer, {}, tuple(t.content for t in tokenizer.get_added_tokens_decoder().values()), spaced
+
+class Encoder:
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.whole = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            made = json.load(f)
+        pre = made.get("pre_tokenizer") or {}
+        self.cuttable = made["model"]["type"] == "BPE" and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not made.get("normalizer")
+        made |= {"pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": [], "post_processor": None}
+        self.model = Tokenizer.from_str(json.dumps(made)) if self.cuttable else None
+        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.letters = byte_letters()
+        self.spaced = np.zeros(max(self.whole.get_vocab().values()) + 1, bool)
+        self.spaced[[i for t, i in self.whole.get_vocab().items() if t[0] == self.letters[0x20]]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.index: dict[str, int] = {}
+        self.held = self.known = 0  # bytes, parts
+        self.pool = np.empty(1 << 16, np.uint32)
+        self.starts = np.zeros(1 << 14, np.int64)  # of each part's ids in the pool, and one more
+
+    def _add(self, ids: np.ndarray, lengths: np.ndarray) -> int:
+        """Append parts to the pool; the first one's index."""
+        n = self.known
+        end = int(self.starts[n])
+        while len(self.pool) < end + len(ids):
+            self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
+        while len(self.starts) < n + len(lengths) + 1:
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+        self.pool[end : end + len(ids)] = ids
+        self.starts[n + 1 : n + 1 + len(lengths)] = end + np.cumsum(lengths)
+        self.known = n + len(lengths)
+        self.held += 4 * len(ids) + 150 * len(lengths)
+        return n
+
+    def _new(self, parts: list[str]) -> np.ndarray:
+        """Indexes of parts that are not remembered yet."""
+        out = np.empty(len(parts), np.int64)
+        plain = [PLAIN.fullmatch(p) is not None for p in parts]
+        spaced = [k for k, p in enumerate(parts) if plain[k] and p[0] == " "]
+        if spaced:
+            table = self.letters
+            words = " ".join([parts[k].encode().decode("latin-1").translate(table) for k in spaced])
+            ids = np.array(self.model.encode_batch_fast([words], add_special_tokens=False)[0].ids, np.uint32)
+            begins = np.flatnonzero(self.spaced[ids])  # only the first piece of such a part has the space
+            if len(begins) != len(spaced):
+                raise ValueError("the tokenizer merges across words")
+            out[spaced] = self._add(ids, np.diff(np.append(begins, len(ids)))) + np.arange(len(spaced))
+        rest = [k for k, p in enumerate(parts) if not (plain[k] and p[0] == " ")]
+        if rest:
+            found = [e.ids for e in self.whole.encode_batch_fast([parts[k] for k in rest], add_special_tokens=False)]
+            lengths = np.array([len(i) for i in found])
+            out[rest] = self._add(np.array([i for ids in found for i in ids], np.uint32), lengths) + np.arange(len(rest))
+        for k, p in enumerate(parts):
+            if len(p) <= LONG:
+                self.index[p] = int(out[k])
+                self.held += len(p)
+        return out
+
+    def __call__(self, data: np.ndarray, offsets: np.ndarray, end: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts data[offsets[i]:offsets[i+1]] one after the other, and where each text's begin (and the last one's end)."""
+        if self.held > MEMORY:
+            self.forget()
+        n, raw = len(offsets) - 1, data.tobytes()
+        odd = np.zeros(n, bool)
+        if not self.cuttable:
+            odd[:] = offsets[1:] > offsets[:-1]
+        for token in self.special:
+            at = raw.find(t := token.encode())
+            while at >= 0:
+                odd[int(np.searchsorted(offsets, at, side="right")) - 1] = True
+                at = raw.find(t, at + 1)
+        places = cuts(data, offsets)
+        if odd.any():  # such a text is one part
+            inside = odd[np.minimum(np.searchsorted(offsets, places, side="right") - 1, n - 1)]
+            places = places[~inside | np.isin(places, offsets)]
+        first = places[:-1]
+        column = pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(places.astype(np.int64)), pa.py_buffer(raw)) if len(first) else pa.array([], pa.large_string())
+        coded = column.dictionary_encode()
+        parts = coded.dictionary.to_pylist()
+        look = self.index.get
+        index = np.array([look(p, -1) for p in parts], np.int64)
+        missing = np.flatnonzero(index < 0)
+        if len(missing):
+            index[missing] = self._new([parts[k] for k in missing.tolist()])
+        part = index[coded.indices.to_numpy()] if len(parts) else np.empty(0, np.int64)
+        sizes = self.starts[part + 1] - self.starts[part]
+        # The ids of a text end where the next text begins; the end id is put in there.
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        begin = upto[np.searchsorted(first, offsets[:-1])]
+        begin = np.append(begin, upto[-1])
+        total = int(upto[-1])
+        ids = self.pool[np.repeat(self.starts[part] - upto[:-1], sizes) + np.arange(total)]
+        if end:
+            ids = np.insert(ids, begin[1:], np.uint32(END))
+            begin = begin + np.arange(n + 1)
+        return ids, begin
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
-def _packed(ids: list[int]) -> bytes:
-    return np.array(ids, "<u4").tobytes()
+def encoded(texts: pa.Array, path: str, end: bool = True) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(lo, hi, ids, begins) for runs of about CHUNK bytes of texts; begins has hi - lo + 1 places in ids."""
+    data, offsets = buffers(texts)
+    lo = 0
+    while lo < len(texts):
+        hi = min(len(texts), max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + CHUNK, side="right")) - 1))
+        own = offsets[lo : hi + 1]
+        yield lo, hi, *encoder(path)(data[own[0] : own[-1]], own - own[0], end)
+        lo = hi
 
 
 def encode(texts: list[str], path: str) -> list[bytes]:
     """Ids of each text as little-endian unsigned 32-bit integers, without an end id."""
-    tokenizer, cache, special, spaced = _loaded(path)
-    if len(cache) > REMEMBER:
-        cache.clear()
-    out: list[bytes | None] = [None] * len(texts)
-    whole, cut = [], []
-    for i, t in enumerate(texts):
-        if t[:1] == " " or t[-1:] == " " or any(a in t for a in AROUND) or any(s in t for s in special):
-            whole.append(i)
-        else:
-            cut.append((i, t.split(" ")))
-    if whole:
-        for i, e in zip(whole, tokenizer.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False)):
-            out[i] = _packed(e.ids)
-    firsts = tokenizer.encode_batch_fast([parts[0] for _, parts in cut], add_special_tokens=False) if cut else []
-    need = list(set().union(*(parts[1:] for _, parts in cut)).difference(cache)) if cut else []
-    if need:
-        ids = np.array(tokenizer.encode_batch_fast([" " + " ".join(need)], add_special_tokens=False)[0].ids, "<u4")
-        begins = (np.flatnonzero(spaced[ids]) * 4).tolist()
-        if len(begins) != len(need):
-            raise ValueError("the tokenizer merges across words")
-        data = ids.tobytes()
-        for part, lo, hi in zip(need, begins, [*begins[1:], len(data)]):
-            cache[part] = data[lo:hi]
-    for (i, parts), first in zip(cut, firsts):
-        out[i] = _packed(first.ids) + b"".join(map(cache.__getitem__, parts[1:]))
+    out: list[bytes] = []
+    for _, _, ids, begins in encoded(pa.array(texts, pa.large_string()), path, end=False):
+        raw = ids.astype("<u4").tobytes()
+        out += [raw[4 * a : 4 * b] for a, b in zip(begins[:-1].tolist(), begins[1:].tolist())]
     return out

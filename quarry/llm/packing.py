@@ -1,14 +1,17 @@
 """Best-fit decreasing packing of token sequences, with a segment tree over capacities.
 
-Documents are tokenised where they lie; only (id, piece, start, length, crc) rows travel.
+Documents are tokenised where they lie; only (uid, id, piece, start, length, crc) rows travel.
 A document longer than a sequence is cut so that all pieces but the first are full. Pieces
 are dealt by a hash into groups of about GROUP pieces, a number that follows the data, and
 each group is packed on its own: longest first, each into the open sequence with the least
 room that still fits, which a segment tree over remaining room finds in log2(capacity)
 steps. A group wastes a few partly filled sequences at most, of some ten thousand.
 
-Defined results: null text is empty (one end id); repeated rows are packed separately; an
-empty table gives an empty result; extra columns do not matter.
+pack() places the pieces; sequences() returns the packed token ids themselves.
+
+Defined results: null text is empty (one end id); null and repeated ids are kept as they are,
+repeated rows are packed separately; an empty table gives an empty result; extra columns do
+not matter.
 """
 
 from __future__ import annotations
@@ -16,17 +19,18 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import small_batches, written
-from quarry.llm.encoding import END, default_tokenizer, encode
+from quarry.llm.common import remove, small_batches, written
+from quarry.llm.encoding import default_tokenizer, encoded
 
 CAPACITY = 1024
 GROUP = 50_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+PLACED = "uid long, " + PIECES + ", sequence_id long, offset long"
 
 
 def cut(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
@@ -39,9 +43,7 @@ class OpenBins:
     """Open sequences by remaining room; a segment tree counts them over ranges of room."""
 
     def __init__(self, capacity: int):
-        self.leaves = 1 << (capacity + 1 - 1).bit_length()
-        if self.leaves < capacity + 1:
-            self.leaves *= 2
+        self.leaves = 1 << capacity.bit_length()
         self.count = [0] * (2 * self.leaves)
         self.bins: list[list[int]] = [[] for _ in range(capacity + 1)]
 
@@ -85,35 +87,67 @@ def best_fit_decreasing(lengths: list[int], capacity: int = CAPACITY) -> list[tu
     return out
 
 
-def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+    """A row a piece of each document; with_ids adds its ids as little-endian unsigned 32-bit integers."""
     path = tokenizer or default_tokenizer()
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: list[list] = [[], [], [], [], []]
-            texts = ["" if t is None else t for t in b.column(1).to_pylist()]
-            for doc_id, ids in zip(b.column(0).to_pylist(), encode(texts, path)):
-                ids += END
-                for k, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
-                    for column, v in zip(out, (doc_id, k, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]))):
-                        column.append(v)
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECES)
+            for lo, _, ids, begins in encoded(b.column(1), path):
+                sizes = np.diff(begins)
+                many = -(-sizes // capacity)
+                doc = np.repeat(np.arange(len(sizes)), many)
+                piece = np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many)
+                first = (sizes - (many - 1) * capacity)[doc]
+                start = np.where(piece == 0, 0, first + (piece - 1) * capacity)
+                length = np.where(piece == 0, first, capacity)
+                at, raw = 4 * (begins[doc] + start), memoryview(ids.astype("<u4").tobytes())
+                cuts = list(zip(at.tolist(), (at + 4 * length).tolist()))
+                columns = {
+                    "doc_id": b.column(0).take(pa.array(lo + doc)), "piece": pa.array(piece.astype(np.int32)), "start": pa.array(start),
+                    "length": pa.array(length), "ids_crc32": pa.array([zlib.crc32(raw[i:j]) for i, j in cuts], pa.int64()),
+                }
+                if with_ids:
+                    columns["ids"] = pa.array([raw[i:j] for i, j in cuts], pa.binary())
+                yield pa.RecordBatch.from_pydict(columns)
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECES + ", ids binary" * with_ids)
+
+
+def placed(table: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
+    """A written table of pieces with their uid -> the same rows with sequence_id and offset."""
+    groups = max(1, -(-table.count() // group))
+
+    def run(rows: pa.Table) -> pa.Table:
+        ids = rows["doc_id"].fill_null(-(1 << 63)).to_numpy()
+        length = rows["length"].to_numpy()
+        order = np.lexsort((rows["uid"].to_numpy(), rows["piece"].to_numpy(), ids, -length))
+        found = np.array(best_fit_decreasing(length[order].tolist(), capacity), np.int64).reshape(-1, 2)
+        name = rows["pack_group"][0].as_py() << 40
+        return (
+            rows.take(pa.array(order)).drop_columns(["pack_group"])
+            .append_column("sequence_id", pa.array(found[:, 0] + name)).append_column("offset", pa.array(found[:, 1]))
+        )
+
+    dealt = table.select("uid", *PIECES.replace(" long", "").replace(" int", "").split(", "), F.pmod(F.xxhash64("uid"), F.lit(groups)).alias("pack_group"))
+    return dealt.groupBy("pack_group").applyInArrow(run, PLACED)
 
 
 def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
     """One row a piece with its sequence_id and its offset there."""
-    cut_up, _ = written(pieces(docs, tokenizer, capacity).withColumn("deal", F.xxhash64(F.monotonically_increasing_id())), "pack-pieces")
-    groups = max(1, -(-cut_up.count() // group))
-
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["length", "doc_id", "piece", "deal"], ascending=[False, True, True, True], kind="stable")
-        placed = best_fit_decreasing(rows["length"].tolist(), capacity)
-        rows = rows.assign(sequence_id=[key[0] * (1 << 40) + s for s, _ in placed], offset=[o for _, o in placed])
-        return rows[["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]]
-
-    dealt = cut_up.withColumn("pack_group", F.pmod(F.col("deal"), F.lit(groups)))
-    return dealt.groupBy("pack_group").applyInPandas(run, PIECES + ", sequence_id long, offset long")
+    table, _ = written(pieces(docs, tokenizer, capacity).withColumn("uid", F.monotonically_increasing_id()), "pack-pieces")
+    return placed(table, capacity, group).drop("uid")
+
+
+def sequences(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
+    """(sequence_id, length, ids): the packed sequences, ids as little-endian unsigned 32-bit integers in order of offset."""
+    table, path = written(pieces(docs, tokenizer, capacity, with_ids=True).withColumn("uid", F.monotonically_increasing_id()), "pack-ids")
+    where, used = written(placed(table, capacity, group).select("uid", "sequence_id", "offset", "length"), "pack-places")
+    rows = table.select("uid", "ids").join(where, "uid")
+    parts = F.array_sort(F.collect_list(F.struct("offset", "ids")))  # at most capacity pieces a sequence
+    joined = F.aggregate(parts, F.lit(b""), lambda a, p: F.concat(a, p["ids"]))
+    out, _ = written(rows.groupBy("sequence_id").agg(F.sum("length").alias("length"), joined.alias("ids")), "pack-sequences")
+    remove(docs.sparkSession, path)
+    remove(docs.sparkSession, used)
+    return out

@@ -202,10 +202,31 @@ def test_encoding_equals_the_library(texts):
     assert [np.frombuffer(b, "<u4").tolist() + [2] for b in encoding.encode(texts, encoding.default_tokenizer())] == [plain_ids(t) for t in texts]
 
 
+def test_encoding_of_repeats_and_special_tokens(monkeypatch):
+    """The memory of parts may overflow at any time; special tokens, long parts and texts without a cut."""
+    monkeypatch.setattr(encoding, "MEMORY", 2000)
+    rng = random.Random(4)
+    texts = ["<|endoftext|>", "x <|endoftext|>y", "a" * 5000, "é" * 3000, "日本語" * 400, " ", "\n\n", "we'll go.\nIt's"]
+    texts += [" ".join("".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 8))) + rng.choice(["", ".", ",\n", "''s", "  "]) for _ in range(60)) for _ in range(40)]
+    for _ in range(2):
+        assert [np.frombuffer(b, "<u4").tolist() + [2] for b in encoding.encode(texts, encoding.default_tokenizer())] == [plain_ids(t) for t in texts]
+
+
+def test_encoding_with_another_tokenizer():
+    """A tokenizer that the cutting rules are not for gets whole texts."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    other, texts = Tokenizer.from_file(path), ["Hello, World! it's", "", "a  b\nC"]
+    assert [np.frombuffer(b, "<u4").tolist() for b in encoding.encode(texts, path)] == [other.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 70000), min_size=1, max_size=1500), st.data())
 def test_wavelet_matrix(ids, data):
-    matrix, doc_ids, lengths = wavelet.load(wavelet.dump(np.array(ids, "<u4"), [None, 7], [1, len(ids) - 1]))
+    shard = wavelet.load(wavelet.dump(np.array(ids, "<u4"), np.array([wavelet.NULL_ID, 7]), np.array([1, len(ids) - 1])))
+    matrix, (doc_ids, lengths) = shard.matrix, shard.documents()
     assert matrix.decode().tolist() == ids and lengths.tolist() == [1, len(ids) - 1] and doc_ids.tolist() == [wavelet.NULL_ID, 7]
     i = data.draw(st.integers(0, len(ids) - 1))
     places = [k for k, v in enumerate(ids) if v == ids[i]]
@@ -213,6 +234,35 @@ def test_wavelet_matrix(ids, data):
     assert matrix.count(1 << 20) == 0
 
 
+def test_wavelet_over_many_frames():
+    """Frame and block edges, and how little of a file a single access reads."""
+    rng = np.random.default_rng(2)
+    for n in (wavelet.FRAME - 1, wavelet.FRAME, wavelet.FRAME + 1, 3 * wavelet.FRAME + wavelet.BLOCK, 20 * wavelet.FRAME):
+        ids = np.minimum(rng.geometric(0.001, n), 60000).astype("<u4")
+        data, read = wavelet.dump(ids, np.array([1]), np.array([n])), []
+        shard = wavelet.ShardFile(lambda at, size: read.append(size) or data[at : at + size])  # noqa: B023
+        opened = sum(read)
+        for i in (0, wavelet.BLOCK - 1, wavelet.BLOCK, min(wavelet.FRAME, n - 1), n - 1):
+            before = sum(read)
+            assert shard.matrix.access(i) == ids[i]
+            assert sum(read) - before <= 2 * shard.matrix.bits * 9000
+        assert opened < 0.05 * len(data) + 2000
+        token = int(ids[n // 2])
+        places = np.flatnonzero(ids == token)
+        assert shard.matrix.count(token) == len(places) and shard.matrix.count(token, 0, n // 2) == (places < n // 2).sum()
+        assert [shard.matrix.select(token, j) for j in (0, len(places) // 2, len(places) - 1)] == places[[0, len(places) // 2, -1]].tolist()
+        assert (shard.matrix.decode() == ids).all()
+
+
+def test_wavelet_files_in_place(docs):
+    """A token is read, counted and found in a file of the store."""
+    files = wavelet.write_shards(docs).collect()
+    row = max(files, key=lambda r: r["tokens"])
+    shard = wavelet.open_shard(row["url"])
+    ids = shard.matrix.decode().tolist()
+    assert len(ids) == row["tokens"] and shard.matrix.access(5) == ids[5] and shard.matrix.occurrences(2) == [k for k, v in enumerate(ids) if v == 2]
+
+
 def test_wavelet_files(docs, empty):
     files = wavelet.write_shards(docs, shard_tokens=2000)
     assert files.count() > 5
@@ -286,6 +336,18 @@ def test_packing(docs, empty):
     assert packing.cut(1024) == [(0, 1024)] and packing.cut(1025) == [(0, 1), (1, 1024)]
 
 
+def test_packing_keeps_ids_exact_and_returns_sequences(spark):
+    """Ids above 2**53 next to a null one; the packed ids are those of the placed pieces."""
+    rows = [(9007199254740993, "a b"), (None, "c"), (9007199254740993, "a b"), (-9007199254740995, None), (1, "word " * 1500)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    check_packing(rows, packing.pack(table).collect())
+    found = packing.sequences(table, capacity=64).collect()
+    ids = [np.frombuffer(r["ids"], "<u4").tolist() for r in found]
+    assert [r["length"] for r in found] == [len(i) for i in ids] and max(map(len, ids)) == 64
+    assert collections.Counter(i for s in ids for i in s) == collections.Counter(i for _, t in rows for i in plain_ids(t))
+    assert packing.sequences(table.limit(0)).count() == 0
+
+
 def brute_spans(text):
     out = []
     for k, (pattern, flags, least) in enumerate(((secret_scan.ASSIGN.pattern, re.A | re.I, 6), ("AKIA[A-Z0-9]+", 0, 20), ("[0-9a-f]+", 0, 24))):
