@@ -1,6 +1,7 @@
 """Corpus operators against brute force on small tables with the awkward rows."""
 
 import collections
+import functools
 import hashlib
 import random
 import re
@@ -185,11 +186,15 @@ def test_token_counts(docs, empty):
     assert token_counts.token_counts(empty).count() == 0
 
 
-def plain_ids(text):
+@functools.cache
+def library():
     from tokenizers import Tokenizer
 
-    t = plain_ids.__dict__.setdefault("t", Tokenizer.from_file(encoding.default_tokenizer()))
-    return [*t.encode(text or "", add_special_tokens=False).ids, 2]
+    return Tokenizer.from_file(encoding.default_tokenizer())
+
+
+def plain_ids(text):
+    return [*library().encode(text or "", add_special_tokens=False).ids, 2]
 
 
 def crc(ids):
