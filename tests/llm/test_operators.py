@@ -477,8 +477,8 @@ def test_ngram_join_of_many_near_copies(spark, n, percent):
     assert sorted((repr(r["doc_id"]), r["n_shingles"], repr(r["component_id"])) for r in got) == brute_components(rows, n, percent)
 
 
-@settings(max_examples=25, deadline=None)
-@given(st.integers(4, 900), st.integers(0, 200), st.sampled_from([50, 80, 90, 95]), st.randoms(use_true_random=False))
+@settings(max_examples=60, deadline=None)
+@given(st.integers(4, 400), st.integers(0, 100), st.sampled_from([50, 80, 90, 95]), st.randoms(use_true_random=False))
 def test_linked_sets_share_a_key(n, edits, percent, rng):
     a = {rng.randrange(2**64) for _ in range(n)}
     b = set(a)
@@ -489,24 +489,44 @@ def test_linked_sets_share_a_key(n, edits, percent, rng):
             b.add(rng.randrange(2**64))
     if 100 * len(a & b) < percent * len(a | b) or a == b:
         return
-    grams = np.array(sorted(a) + sorted(b), np.uint64)
-    found = ngram_join.segment_keys(np.repeat([0, 1], [len(a), len(b)]), grams, np.array([len(a), len(b)]), percent)
-    common, kept = {k: rng.randrange(5) for k in found[1].tolist()}, [set(), set()]
-    cuts = collections.defaultdict(list)
-    for d, key, cut, over in zip(*(c.tolist() for c in found)):
-        cuts[d, cut, over].append((-common[key], key))
-    for (d, _, over), keys in cuts.items():
-        kept[d] |= {key for _, key in sorted(keys)[over:]}
-    assert kept[0] & kept[1]
-
-
-def test_long_sets_rarely_share_the_last_key():
-    """At a low threshold the fragments are short; sets of each size within a class must still get keys of their own."""
+    counts = {g: (g in a) + (g in b) + rng.choice([0, 0, 1, 9, 200]) for g in a | b}
+    rows = [(d, g) for d, own in enumerate((a, b)) for g in sorted(own) if counts[g] > 1]
+    rng.shuffle(rows)
+    kinds = ngram_join.classes(np.array([counts[g] for _, g in rows]))
+    d, keys = ngram_join.prefix_keys(np.array([d for d, _ in rows]), np.array([g for _, g in rows], np.uint64), kinds, np.array([len(a), len(b)]), percent)
+    found = [set(keys[d == k].tolist()) for k in (0, 1)]
+    assert found[0] & found[1]
+
+
+def test_packed_segments_and_count_classes():
     rng = np.random.default_rng(5)
-    for size in (300, 2000, 2400, 20000, 24000):
-        grams = np.sort(rng.integers(0, 2**63, (6, size), dtype=np.uint64), axis=1)
-        d, keys, _, _ = ngram_join.segment_keys(np.repeat(np.arange(6), size), grams.ravel(), np.full(6, size), 80)
-        assert len(set(zip(d.tolist(), keys.tolist()))) == len(d) and np.unique(keys, return_counts=True)[1].max() == 1
+    for n in (0, 1, 1000):
+        values, docs = np.sort(rng.integers(0, 2**64, n, dtype=np.uint64)), rng.integers(0, 2**31, n)
+        back = ngram_join.unpack(ngram_join.pack(values, docs))
+        assert (back[0] == values).all() and (back[1] == docs).all()
+    assert ngram_join.classes(np.array([1, 2, 3, 4, 5, 8, 9, 1 << 20])).tolist() == [0, 1, 2, 2, 3, 3, 4, 20]
+
+
+@BOTH
+def test_ngram_join_in_many_blocks_and_fragments(spark, monkeypatch, n, percent):
+    """Blocks of a few sets, many fragments, copies in several blocks, and members that are linked with each other but not with their pivot."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 500)
+    monkeypatch.setattr(ngram_join, "FRAGMENT", 300)
+    rng, rows = random.Random(9), []
+    for family in range(6):
+        base = [f"f{family}w{k}" for k in range(100)]
+        own = base + [f"own{family}w{k}" for k in range(14)]  # the pivot's alone
+        rows.append(" ".join(own))
+        for _ in range(14):
+            words = list(base)
+            lo = rng.randrange(90)
+            words[lo : lo + rng.randint(0, 12)] = [f"e{rng.randrange(6)}" for _ in range(rng.randint(0, 6))]
+            rows += [" ".join(words)] * rng.choice([1, 1, 3])
+        rows.append(" ".join(base + base[:50] * rng.randint(1, 3)))
+    rng.shuffle(rows)
+    table = [(k, t, None, None, None) for k, t in enumerate(rows)]
+    got = ngram_join.join(spark.createDataFrame(table, SCHEMA).repartition(6), n, percent).collect()
+    assert sorted((repr(r["doc_id"]), r["n_shingles"], repr(r["component_id"])) for r in got) == brute_components(table, n, percent)
 
 
 def test_components(spark):
