@@ -48,6 +48,10 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Tables that written() has made in this process, in order; see discard().
+_made: list[str] = []
+
+
 def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write df to the shared folder and read it again: cuts lineage, survives lost executors.
 
@@ -60,9 +64,23 @@ def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
         df.write.parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
+    _made.append(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def made() -> int:
+    """How many tables written() has made so far; a mark for discard()."""
+    return len(_made)
+
+
+def discard(spark: SparkSession, since: int, but: str) -> None:
+    """Delete the tables written since a mark but one, once that one holds all that is read from now on."""
+    for path in _made[since:]:
+        if path != but:
+            remove(spark, path)
+    del _made[since:]
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of the shared store that nothing reads any more."""
     jvm = spark.sparkContext._jvm

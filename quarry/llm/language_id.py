@@ -2,8 +2,9 @@
 
 Fit: for each language BUCKETS hash buckets of its labelled training rows give the row with
 the smallest hash, and the first EXCERPT characters of those rows make a raw-content
-dictionary. This bounded sample (BUCKETS * EXCERPT characters a language, at most LANGUAGES
-languages, most frequent first) is all that is fitted; prediction reads whole texts.
+dictionary. This bounded sample (BUCKETS * EXCERPT characters a language, and so many buckets
+fewer that all languages together have FITTED characters at most, one excerpt each at least) is all that is
+fitted; every language with a labelled row is. Prediction reads whole texts.
 
 Predict: letters are lower-cased and all between them becomes one space, in texts as in
 dictionaries. The whole text is compressed in blocks of BLOCK bytes, each of its own, so that
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import small_batches
 
-BUCKETS, EXCERPT, LANGUAGES, LEVEL, BLOCK = 64, 6000, 64, 12, 512
+BUCKETS, EXCERPT, FITTED, LEVEL, BLOCK = 64, 6000, 32_000_000, 12, 512
 NARROW, RELIABLE = 0.01, 0.10
 LETTERS = re.compile(r"[^\W\d_]+")
 RESULT = "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean"
@@ -44,17 +45,17 @@ def dictionaries(docs: DataFrame, buckets: int = BUCKETS, excerpt: int = EXCERPT
     rows = docs.where((fold() != 2) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
         "lang", F.substring("text", 1, excerpt).alias("part"), F.xxhash64("doc_id", F.lit("dictionary")).alias("h")
     )
-    picked = rows.groupBy("lang", F.pmod("h", F.lit(buckets)).alias("bucket")).agg(
-        F.min(F.struct("h", "part")).alias("first"), F.count(F.lit(1)).alias("n")
-    )
-    by_lang = picked.groupBy("lang").agg(F.sum("n").alias("n"), F.array_sort(F.collect_list("first.part")).alias("parts"))
-    found = by_lang.orderBy(F.col("n").desc(), "lang").limit(LANGUAGES).collect()
+    languages = rows.select("lang").distinct().count()
+    buckets = max(1, min(buckets, FITTED // (excerpt * max(1, languages))))
+    picked = rows.groupBy("lang", F.pmod("h", F.lit(buckets)).alias("bucket")).agg(F.min(F.struct("h", "part")).alias("first"))
+    found = picked.groupBy("lang").agg(F.array_sort(F.collect_list("first.part")).alias("parts")).collect()  # FITTED characters, or one excerpt a language
     return {r["lang"]: letters("\n".join(r["parts"])) for r in sorted(found, key=lambda r: r["lang"])}
 
 
 def letters(text: str) -> bytes:
-    """The text's words of letters in lower case, with a space between them."""
-    return " ".join(LETTERS.findall(text.lower())).encode()
+    """The text's words of letters in lower case, with a space between them; nothing if it has no letter at all."""
+    found = " ".join(LETTERS.findall(text.lower()))
+    return found.encode() if any(map(str.isalpha, found)) else b""  # fractions and Roman numerals count as word characters
 
 
 class Classifier:

@@ -7,14 +7,15 @@ so the fixed point is found with running sums over the (few) sources.
 
 Sample: each document is taken floor(target / source size) times as a whole, and once more
 if it falls into the fractional part: documents are put in the order of a seeded md5 of
-their id, those that fit as a whole come first, and the gap that a long document leaves is
+their id and text, those that fit as a whole come first, and the gap that a long document leaves is
 filled with shorter ones. Running sums go over (source, hash bucket) cells and then within
 a cell, so no task ever holds a whole source. The outcome is one row of thresholds for each
 source, and a document's decision depends on that row and on itself alone: reruns agree.
 
 Defined results: a null text has size 0; a null source is a source of its own, last in
-order; sources without words get target 0; rows with equal id and source are decided alike;
-an empty table gives an empty result; extra columns are untouched.
+order; sources without words get target 0; null and repeated ids do not matter as long as texts
+differ, and rows of one id, text and source are decided alike; an empty table gives an empty
+result; extra columns are untouched, whatever their names (but RESULT, which the operator adds).
 """
 
 from __future__ import annotations
@@ -31,8 +32,13 @@ SEED = "mix-1"
 BROADCAST_SOURCES = 10_000
 
 
-def order_hash(id_col: str = "doc_id", seed: str = SEED) -> F.Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
+#: Added columns; their names are unlikely in a table of documents. RESULT is the struct that mix adds.
+RESULT, HASH, SIZE, PLAN, OF = "_mixed", "_mix_h", "_mix_size", "_mix", "_mix_source"
+
+
+def order_hash(id_col: str = "doc_id", seed: str = SEED, text_col: str = "text") -> F.Column:
+    part = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    return F.md5(F.concat(F.lit(f"{seed}:"), part(id_col), F.lit(":"), part(text_col)))
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -116,37 +122,32 @@ def sized(table: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
-    """All rows and columns of docs with a struct `mix`: size, source_size, target, times, taken."""
+    """All rows and columns of docs with the struct RESULT: size, source_size, target, times, taken."""
     table = plan(docs, weights, max_epochs, seed).select(
-        F.col("source").alias("_mix_source"), F.struct("source_size", "target", "whole", "last", "gap", "fill_last").alias("_mix")
+        F.col("source").alias(OF), F.struct("source_size", "target", "whole", "last", "gap", "fill_last").alias(PLAN)
+    )
+    rows = docs.withColumn(SIZE, word_count(F.col("text"))).withColumn(HASH, order_hash(seed=seed))
+    rows = rows.join(sized(table), F.col("source").eqNullSafe(F.col(OF)), "left")
+    h, size, known = F.col(HASH), F.col(SIZE), lambda c: F.col(f"{PLAN}.{c}")
+    once_more = (h <= known("last")) | F.coalesce((size > 0) & (size <= known("gap")) & (h <= known("fill_last")), F.lit(False))
+    times = known("whole") + once_more.cast("long")
+    found = F.struct(
+        size.alias("size"), known("source_size").alias("source_size"), known("target").alias("target"), times.alias("times"), (size * times).alias("taken")
     )
-    rows = docs.withColumn("_mix_size", word_count(F.col("text"))).withColumn("_mix_h", order_hash(seed=seed))
-    rows = rows.join(sized(table), F.col("source").eqNullSafe(F.col("_mix_source")), "left")
-    h, size = F.col("_mix_h"), F.col("_mix_size")
-    once_more = (h <= F.col("_mix.last")) | F.coalesce((size > 0) & (size <= F.col("_mix.gap")) & (h <= F.col("_mix.fill_last")), F.lit(False))
-    times = F.col("_mix.whole") + once_more.cast("long")
-    return rows.withColumn(
-        "mix",
-        F.struct(
-            size.alias("size"),
-            F.col("_mix.source_size").alias("source_size"),
-            F.col("_mix.target").alias("target"),
-            times.alias("times"),
-            (size * times).alias("taken"),
-        ),
-    ).select(*[F.col(f"`{c}`") for c in docs.columns], "mix")
+    return rows.withColumn(RESULT, found).select(*[F.col(f"`{c}`") for c in docs.columns], RESULT)
 
 
 def repeated(docs: DataFrame) -> DataFrame:
     """The mix itself: each row of docs as often as it is taken, with docs' own columns."""
-    return mix(docs).withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("mix.times").cast("int")))).drop("_copy", "mix")
+    copies = F.explode(F.array_repeat(F.lit(0), F.col(f"{RESULT}.times").cast("int")))
+    return mix(docs).withColumn("_mix_copy", copies).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 ORACLE = f"""
 WITH d AS (
   SELECT doc_id, source,
     CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size,
-    md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+    md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')) AS h
   FROM documents
 ), s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,

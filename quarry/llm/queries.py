@@ -15,7 +15,7 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(documents(spark, sf_dir)).select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
+    return mixing.mix(documents(spark, sf_dir)).select("doc_id", *[f"{mixing.RESULT}.{c}" for c in ("size", "source_size", "target", "taken")])
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,7 +28,7 @@ def op4_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir)).select(
-        "doc_id", "dedup.keep_id", "dedup.group_size", "dedup.kept", "dedup.text_sha256"
+        "doc_id", *[f"{exact_dedup.RESULT}.{c}" for c in ("keep_id", "group_size", "kept", "text_sha256")]
     )
 
 

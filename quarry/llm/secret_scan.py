@@ -1,19 +1,25 @@
 """Secret scans: fixed patterns, and formats learned by grammar inference.
 
 Base spans come from three patterns. Their matches are labelled credentials: a bounded
-sample of distinct ones (SAMPLE a kind, those with the smallest md5) makes a prefix tree for
-each kind, whose states are merged while their futures are statistically compatible
-(Hoeffding bounds, red-blue order), giving a probabilistic automaton. A bounded sample of
-other long tokens makes a background automaton in the same way. Every other run of
-credential characters of at least MIN_RUN is then scored: it becomes a `learned` span if its
-log-likelihood a character under the best credential automaton reaches that kind's floor
-(the lowest score of its own sample, less SLACK) and exceeds the background by MARGIN bits.
+sample of distinct ones (SAMPLE a kind, those with the smallest md5, of LONGEST characters at most) makes a prefix
+tree for each kind over character classes (capitals, a to f, other small letters, digits, and each
+mark for itself). Its states are merged while their futures are statistically compatible
+(Hoeffding bounds): first the states of one depth, from the root down, which pools the counts of
+the many random spellings of a format, then states of different depths, red and blue. What is left is a
+probabilistic automaton that keeps prefixes, alphabets and lengths; each state also keeps how often it
+saw each character. A bounded sample of all other runs, drawn by occurrence, makes a background automaton in the same way.
+
+Every other run of credential characters that is as long as the shortest labelled credential is scored, and
+if it is none itself its parts between "=", "/", "." and ":"; it becomes a `learned` span if its
+log-likelihood a character under the best credential automaton reaches that kind's floor (what all but
+1 in 50 of its own sample reach, less SLACK) and exceeds the background by MARGIN bits. A kind with fewer
+than LEAST distinct matches is not learned.
 
 Base spans are never changed and learned spans never overlap them. Offsets are code points.
 
 Defined results: null text is empty; empty text has no span and the sha256 of the empty
 string; without any labelled credential nothing is learned; repeated rows agree; an empty
-table gives an empty result; extra columns do not matter.
+table gives an empty result; extra columns do not matter. Scoring is linear in a run's length.
 """
 
 from __future__ import annotations
@@ -21,6 +27,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,14 +45,22 @@ HEX = re.compile(r"[0-9a-f]{24,}")  # a maximal run is tried at its start first,
 RUN = re.compile(r"[A-Za-z0-9+/_.=-]+")
 CUES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-MIN_RUN, SAMPLE, BACKGROUND = 16, 128, 512
+#: Shortest base match outside assignments; distinct credentials a kind and background runs that are fitted, and their longest.
+MIN_RUN, SAMPLE, BACKGROUND, LONGEST, LEAST = 16, 500, 1000, 96, 8
 ALPHA, UNSEEN, SLACK, MARGIN = 0.05, 1e-4, 0.5, 1.0
+#: First buckets of the sample, by hash: no task sorts more than their sum.
+BUCKETS = 64
+PARTS = re.compile(r"[^=/.:]+")
+#: Runs that each text offers to the background's sample, of so many characters at least.
+DRAWS, ORDINARY = 2, re.compile(r"(?<![A-Za-z0-9+/_.=-])([A-Za-z0-9+/_.=-]{6,})")
+#: Words whose verdict a worker remembers.
+REMEMBER = 100_000
 
 Span = tuple[int, int, int]  # start, kind, end
 
 
-def base_spans(text: str, long_words: list[tuple[int, int]]) -> tuple[list[Span], list[tuple[int, int]]]:
-    """Base spans in order, and other runs of credential characters; long_words has all words of MIN_RUN bytes or more."""
+def base_spans(text: str, long_words: list[tuple[int, int]], least: int = MIN_RUN) -> tuple[list[Span], list[tuple[int, int]]]:
+    """Base spans in order, and other runs of at least so many credential characters; long_words has all words of that many bytes or more."""
     spans: list[Span] = []
     low = text.lower()
     if any(c in low for c in CUES):
@@ -53,7 +68,7 @@ def base_spans(text: str, long_words: list[tuple[int, int]]) -> tuple[list[Span]
     others = []
     for lo, hi in long_words:
         for run in RUN.finditer(text, lo, hi):
-            if run.end() - run.start() < MIN_RUN:
+            if run.end() - run.start() < least:
                 continue
             found = [(m.start(), 1, m.end()) for m in ACCESS.finditer(text, *run.span()) if m.end() - m.start() >= 20]
             found += [(m.start(), 2, m.end()) for m in HEX.finditer(text, *run.span())]
@@ -67,52 +82,93 @@ def joined(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
 
+def symbol(c: str) -> str:
+    """The class of a character: A capital, h for a to f, a other small letter, 0 digit, else the character."""
+    return "A" if "A" <= c <= "Z" else "h" if "a" <= c <= "f" else "a" if "g" <= c <= "z" else "0" if "0" <= c <= "9" else c
+
+
+CLASS_SIZE = {"A": 26, "h": 6, "a": 20, "0": 10}
+
+
 class Automaton:
-    """Probabilistic automaton from strings: prefix tree, then merging of compatible states."""
+    """Probabilistic automaton from strings: prefix tree over character classes, then merging of compatible states."""
 
     def __init__(self, samples: list[str], alpha: float = ALPHA):
         self.bound = math.sqrt(0.5 * math.log(2 / alpha))
-        self.next: list[dict[str, int]] = [{}]
-        self.seen: list[dict[str, int]] = [{}]
-        self.total, self.ends = [0], [0]
+        self.next: list[dict[str, int]] = []
+        self.seen: list[dict[str, int]] = []
+        self.chars: list[dict[str, int]] = []
+        self.total: list[int] = []
+        self.ends: list[int] = []
+        self.top: list[int] = []  # union-find
+        depth = [0]
+        self._state()
         for word in samples:
             at = 0
-            for c in word:
+            for k, c in enumerate(word):
                 self.total[at] += 1
-                self.seen[at][c] = self.seen[at].get(c, 0) + 1
-                to = self.next[at].get(c)
+                s = symbol(c)
+                self.seen[at][s] = self.seen[at].get(s, 0) + 1
+                self.chars[at][c] = self.chars[at].get(c, 0) + 1
+                to = self.next[at].get(s)
                 if to is None:
-                    to = self.next[at][c] = len(self.next)
-                    self.next.append({})
-                    self.seen.append({})
-                    self.total.append(0)
-                    self.ends.append(0)
+                    to = self.next[at][s] = self._state()
+                    depth.append(k + 1)
                 at = to
             self.total[at] += 1
             self.ends[at] += 1
+        # States of one depth, from the root down: those below come together as their parents do.
+        level = [0]
+        while level:
+            level = sorted({self._find(v) for u in level for v in self.next[u].values()}, key=lambda u: (-self.total[u], u))
+            kept: list[int] = []
+            for u in level:
+                u = self._find(u)
+                if u in kept:
+                    continue
+                for r in kept:
+                    if self._compatible(r, u):
+                        self._fold(r, u)
+                        break
+                else:
+                    kept.append(u)
+            level = kept
+        # States of different depths: red ones stay, blue ones follow a red one.
         red = [0]
-        blue = sorted(self.next[0].items())
-        parents = [(0, c, v) for c, v in blue]
-        while parents:
-            parent, c, v = parents.pop(0)
+        while blue := sorted({self._find(v) for u in red for v in self.next[u].values()}.difference(red), key=lambda u: (depth[u], -self.total[u], u)):
             for r in red:
-                if self._compatible(r, v):
-                    self.next[parent][c] = r
-                    self._fold(r, v)
+                if self._compatible(r, blue[0]):
+                    self._fold(r, blue[0])
                     break
             else:
-                red.append(v)
-            kept = set(red)
-            parents = [(u, c, w) for u in red for c, w in sorted(self.next[u].items()) if w not in kept]
+                red.append(blue[0])
+            red = list(dict.fromkeys(self._find(r) for r in red))
         self.red = red
 
+    def _state(self) -> int:
+        for c in (self.next, self.seen, self.chars):
+            c.append({})
+        self.total.append(0)
+        self.ends.append(0)
+        self.top.append(len(self.top))
+        return len(self.top) - 1
+
+    def _find(self, u: int) -> int:
+        while self.top[u] != u:
+            self.top[u] = self.top[self.top[u]]
+            u = self.top[u]
+        return u
+
     def _differs(self, f1: int, n1: int, f2: int, n2: int) -> bool:
         return bool(n1 and n2) and abs(f1 / n1 - f2 / n2) > (1 / math.sqrt(n1) + 1 / math.sqrt(n2)) * self.bound
 
     def _compatible(self, a: int, b: int) -> bool:
-        stack = [(a, b)]
+        stack, done = [(a, b)], set()
         while stack:
-            a, b = stack.pop()
+            a, b = (self._find(u) for u in stack.pop())
+            if a == b or (a, b) in done:
+                continue
+            done.add((a, b))
             if self._differs(self.ends[a], self.total[a], self.ends[b], self.total[b]):
                 return False
             for c in self.seen[a].keys() | self.seen[b].keys():
@@ -123,14 +179,20 @@ class Automaton:
         return True
 
     def _fold(self, a: int, b: int) -> None:
-        """Add the tree below b to a."""
+        """Make b and what follows it one with a and what follows that; the root stays the root."""
         stack = [(a, b)]
         while stack:
-            a, b = stack.pop()
+            a, b = (self._find(u) for u in stack.pop())
+            if a == b:
+                continue
+            if b == 0:
+                a, b = b, a
+            self.top[b] = a
             self.total[a] += self.total[b]
             self.ends[a] += self.ends[b]
-            for c, n in self.seen[b].items():
-                self.seen[a][c] = self.seen[a].get(c, 0) + n
+            for own, other in ((self.seen[a], self.seen[b]), (self.chars[a], self.chars[b])):
+                for c, n in other.items():
+                    own[c] = own.get(c, 0) + n
             for c, v in self.next[b].items():
                 if c in self.next[a]:
                     stack.append((self.next[a][c], v))
@@ -138,12 +200,25 @@ class Automaton:
                     self.next[a][c] = v
 
     def frozen(self) -> tuple[list[dict[str, tuple[float, int]]], list[float]]:
-        """For each state log2 probability and target by character, and log2 probability of the end."""
+        """For each state log2 probability and target by character, and log2 probability of the end.
+
+        Each character of a class that the state knows counts as seen once more.
+        """
         name = {u: k for k, u in enumerate(self.red)}
-        steps = [{c: (math.log2(self.seen[u][c] / self.total[u]), name[v]) for c, v in self.next[u].items()} for u in self.red]
+        steps = []
+        for u in self.red:
+            own: dict[str, tuple[float, int]] = {}
+            for s, v in self.next[u].items():
+                share, size = self.seen[u][s] / self.total[u], CLASS_SIZE.get(s, 1)
+                for c in ALPHABET.get(s, s):
+                    own[c] = (math.log2(share * (self.chars[u].get(c, 0) + 1) / (self.seen[u][s] + size)), name[self._find(v)])
+            steps.append(own)
         return steps, [math.log2(self.ends[u] / self.total[u]) if self.ends[u] else math.log2(UNSEEN) for u in self.red]
 
 
+ALPHABET = {"A": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "h": "abcdef", "a": "ghijklmnopqrstuvwxyz", "0": "0123456789"}
+
+
 def score(frozen: tuple, word: str) -> float:
     """Log2 likelihood of the word, a character; unseen steps cost log2(UNSEEN) and stay in place."""
     steps, ends = frozen
@@ -155,13 +230,16 @@ def score(frozen: tuple, word: str) -> float:
 
 
 def learn(labelled: dict[int, list[str]], background: list[str]) -> dict:
-    """Frozen automata and floors by kind, and the background's automaton."""
-    models = {}
+    """Frozen automata and floors by kind, the background's automaton, and the length from which runs are scored."""
+    models, least = {}, None
     for kind, words in sorted(labelled.items()):
-        if len(words) >= 8:
+        if len(words) >= LEAST:
             model = Automaton(words).frozen()
-            models[kind] = (model, min(score(model, w) for w in words) - SLACK)
-    return {"kinds": models, "background": Automaton(background).frozen() if background else None}
+            scores = sorted(score(model, w) for w in words)
+            models[kind] = (model, scores[len(scores) // 50] - SLACK)
+            shortest = min(map(len, words))
+            least = shortest if least is None else min(least, shortest)
+    return {"kinds": models, "background": Automaton(background).frozen() if background else None, "least": least}
 
 
 def is_credential(model: dict, word: str) -> bool:
@@ -173,8 +251,33 @@ def is_credential(model: dict, word: str) -> bool:
     return False
 
 
-def long_words(data: np.ndarray, offsets: np.ndarray) -> list[list[tuple[int, int]]]:
-    """Code-point ranges, document by document, of words of at least MIN_RUN bytes."""
+class Judge:
+    """Learned spans of a run of credential characters: the run, or else its parts; remembers verdicts on short words."""
+
+    def __init__(self, model: dict):
+        self.model, self.least, self.known = model, model["least"], {}
+
+    def _credential(self, word: str) -> bool:
+        if len(word) > LONGEST:
+            return is_credential(self.model, word)
+        found = self.known.get(word)
+        if found is None:
+            if len(self.known) >= REMEMBER:
+                self.known.clear()
+            found = self.known[word] = is_credential(self.model, word)
+        return found
+
+    def __call__(self, text: str, start: int, end: int) -> list[Span]:
+        if self.least is None or end - start < self.least:
+            return []
+        if self._credential(text[start:end]):
+            return [(start, 3, end)]
+        parts = [m.span() for m in PARTS.finditer(text, start, end)]
+        return [(a, 3, b) for a, b in parts if self.least <= b - a < end - start and self._credential(text[a:b])]
+
+
+def long_words(data: np.ndarray, offsets: np.ndarray, least: int = MIN_RUN) -> list[list[tuple[int, int]]]:
+    """Code-point ranges, document by document, of words of at least so many bytes."""
     n = len(offsets) - 1
     out: list[list[tuple[int, int]]] = [[] for _ in range(n)]
     if not len(data):
@@ -187,7 +290,7 @@ def long_words(data: np.ndarray, offsets: np.ndarray) -> list[list[tuple[int, in
     ends = solid.copy()
     ends[:-1] &= ~solid[1:] | first[1:-1]
     a, b = np.flatnonzero(starts), np.flatnonzero(ends) + 1
-    keep = b - a >= MIN_RUN
+    keep = b - a >= least
     a, b = a[keep], b[keep]
     if len(a):
         points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
@@ -198,19 +301,29 @@ def long_words(data: np.ndarray, offsets: np.ndarray) -> list[list[tuple[int, in
     return out
 
 
-def _documents(texts: pa.Array) -> Iterator[tuple[str, list[tuple[int, int]]]]:
+def _documents(texts: pa.Array, least: int = MIN_RUN) -> Iterator[tuple[str, list[tuple[int, int]]]]:
     data, offsets = textvec.buffers(texts)
     lo = 0
     while lo < len(texts):
         hi = min(len(texts), max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + textvec.CHUNK, side="right")) - 1))
         own = offsets[lo : hi + 1]
-        for text, words in zip(texts[lo:hi].to_pylist(), long_words(data[own[0] : own[-1]], own - own[0])):
+        for text, words in zip(texts[lo:hi].to_pylist(), long_words(data[own[0] : own[-1]], own - own[0], least)):
             yield text or "", words
         lo = hi
 
 
+def drawn(text: str, spans: list[Span]) -> list[tuple[str, str]]:
+    """DRAWS runs outside base spans from places that follow from the text, with a hash each: common words come often, credentials seldom."""
+    out, crc = [], zlib.crc32(text.encode())
+    for k in range(DRAWS if text else 0):
+        m = ORDINARY.search(text, zlib.crc32(f"{crc}:{k}".encode()) % len(text))
+        if m and m.end(1) - m.start(1) <= LONGEST and not any(s < m.end(1) and m.start(1) < e for s, _, e in spans):
+            out.append((hashlib.md5(f"{crc}:{k}:{m[1]}".encode()).hexdigest(), m[1]))
+    return out
+
+
 def train(docs: DataFrame) -> dict:
-    """Learn from a bounded sample of the table's own base matches and other runs, over all rows."""
+    """Learn from a bounded sample of the table's own base matches and of its other runs, over all rows."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,12 +332,13 @@ def train(docs: DataFrame) -> dict:
         limits = {0: SAMPLE, 1: SAMPLE, 2: SAMPLE, 3: BACKGROUND}
         for b in batches:
             for text, words in _documents(b.column(0)):
-                spans, others = base_spans(text, words)
+                spans, _ = base_spans(text, words)
                 for start, kind, end in spans:
                     word = text[start:end] if kind else ASSIGN.match(text, start)[2]
-                    kept[kind][hashlib.md5(word.encode()).hexdigest()] = word
-                for start, end in others:
-                    kept[3][hashlib.md5(text[start:end].encode()).hexdigest()] = text[start:end]
+                    if len(word) <= LONGEST:
+                        kept[kind][hashlib.md5(word.encode()).hexdigest()] = word
+                for key, word in drawn(text, spans):
+                    kept[3][key] = word
             for kind, found in kept.items():
                 if len(found) > 2 * limits[kind]:
                     kept[kind] = dict(sorted(found.items())[: limits[kind]])
@@ -232,10 +346,13 @@ def train(docs: DataFrame) -> dict:
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.string(), pa.string()))], names=["kind", "h", "word"])
 
     rows = docs.select("text").mapInArrow(run, "kind int, h string, word string").distinct()
-    order = F.row_number().over(Window.partitionBy("kind").orderBy("h"))
-    rows = rows.withColumn("place", order).where((F.col("place") <= SAMPLE) | ((F.col("kind") == 3) & (F.col("place") <= BACKGROUND)))
+    most = F.when(F.col("kind") == 3, BACKGROUND).otherwise(SAMPLE)
+    first = lambda *by: F.row_number().over(Window.partitionBy("kind", *by).orderBy("h"))
+    # Two steps: buckets of the hash, and then BUCKETS * most rows a kind at most.
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("h"), F.lit(BUCKETS)))
+    rows = rows.withColumn("place", first("bucket")).where(F.col("place") <= most).withColumn("place", first()).where(F.col("place") <= most)
     found: dict[int, list[str]] = {}
-    for r in rows.orderBy("kind", "h").collect():  # at most 3 * SAMPLE + BACKGROUND rows
+    for r in rows.orderBy("kind", "h").collect():  # at most 3 * SAMPLE + BACKGROUND rows of LONGEST characters
         found.setdefault(r["kind"], []).append(r["word"])
     return learn({k: v for k, v in found.items() if k < 3}, found.get(3, []))
 
@@ -246,11 +363,12 @@ def scan(docs: DataFrame, model: dict | None = None) -> DataFrame:
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge, least = Judge(model), min(MIN_RUN, model["least"] or MIN_RUN)
         for b in batches:
             rows = []
-            for text, words in _documents(b.column(1)):
-                spans, others = base_spans(text, words)
-                extra = [(s, 3, e) for s, e in others if is_credential(model, text[s:e])]
+            for text, words in _documents(b.column(1), least):
+                spans, others = base_spans(text, words, least)
+                extra = [x for s, e in others for x in judge(text, s, e)]
                 counts = [sum(k == kind for _, k, _ in spans) for kind in range(3)]
                 rows.append((*counts, hashlib.sha256(joined(spans).encode()).hexdigest(), joined(sorted(spans + extra)), len(extra)))
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())

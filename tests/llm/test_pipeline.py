@@ -36,7 +36,7 @@ def test_stages_against_brute_force(spark):
     groups = brute_components([(i, rows[i]["text"]) for i in best.values()])
     assert three.columns == docs.columns and sorted(repr(r["doc_id"]) for r in three.collect()) == sorted({c for _, _, c in groups})
     four = corpus_pipeline.source_mix(spark, three, SF)
-    times = {r["doc_id"]: r["mix"]["times"] for r in mixing.mix(three).collect()}
+    times = {r["doc_id"]: r[mixing.RESULT]["times"] for r in mixing.mix(three).collect()}
     copies = collections.Counter(r["doc_id"] for r in four.collect())
     assert four.columns == docs.columns and copies == collections.Counter({i: n for i, n in times.items() if n})
     check_packing([(r["doc_id"], r["text"]) for r in four.collect()], corpus_pipeline.packed(spark, four, SF).collect())
@@ -74,3 +74,24 @@ def test_stages_of_awkward_tables(spark):
         for _, stage in corpus_pipeline.STAGES:
             docs = stage(spark, docs, SF)
         assert docs.count() == 0
+
+
+def test_awkward_rows_in_later_stages(spark):
+    """Rows that the rules keep, with null and repeated ids, very long text, ties, null source, and columns named as the operators' own."""
+    rng = random.Random(12)
+    prose = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    a, b, c, long = prose(120), prose(130), prose(140), prose(60_000)
+    rows = [(None, a, "s"), (None, a, None), (None, b, "s"), (4, c, "s"), (4, c, "s"), (4, prose(90), "t"), (6, c + " x", "t"), (7, long, None), (8, None, "s"), (9, "", "s")]
+    kinds = SCHEMA + ", mix long, dedup long, times long, salt long, cid long, label long, piece long, uid long"
+    docs = spark.createDataFrame([(i, t, None, s, k, *range(8)) for k, (i, t, s) in enumerate(rows)], kinds)
+    for name, stage in corpus_pipeline.STAGES[1:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        docs = spark.createDataFrame(out.collect(), kinds)
+        left = sorted(r["n_chars"] for r in docs.collect())
+        if name == "exact dedup":
+            assert len(left) == 7 and {2, 5, 6, 7} < set(left) and len({0, 1} & set(left)) == len({3, 4} & set(left)) == len({8, 9} & set(left)) == 1
+        if name == "n-gram Jaccard join":
+            assert len(left) == 6 and 6 not in left
+    texts = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    check_packing(texts, corpus_pipeline.packed(spark, docs, SF).collect())
