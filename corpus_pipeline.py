@@ -2,7 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; all but
 the last return the columns of documents. run() writes each stage's rows to the shared
-folder and reads them again, so that a lost executor costs a stage and not the pipeline.
+folder and reads them again, so that a lost executor costs a stage and not the pipeline; what a
+stage wrote besides is deleted then.
+
+Defined results: rows are judged and kept one by one, told apart by all their columns, so null
+and repeated ids lose no row; null and empty texts go in the first stage (they have no words);
+of texts that are equal or near each other one row stays; extra columns pass through all stages
+but the last, whatever their names; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -10,7 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.llm import exact_dedup, mixing, ngram_join, packing, quality
-from quarry.llm.common import documents, written
+from quarry.llm.common import discard, documents, made, remove, written
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules keep; each row is judged for itself, whatever its doc_id."""
@@ -59,11 +66,15 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs, _ = written(docs, f"stage-{k}")
-    return docs
+    last = ""
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        mark = made()
+        docs, path = written(stage(spark, docs, sf_dir), f"stage-{k}")
+        discard(spark, mark, path)
+        if last:
+            remove(spark, last)
+        last = path
+    return STAGES[-1][1](spark, docs, sf_dir)
 
 
 def queries() -> dict:
