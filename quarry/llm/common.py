@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows and bytes in one Arrow batch. Documents can be long, so batches are kept small; a longer row is a batch of its own.
-ARROW_ROWS, ARROW_BYTES = 4000, 8 << 20
+ARROW_ROWS, ARROW_BYTES = 1000, 4 << 20
 #: Spark's setting to drop an execution's shuffle files when it ends, and not at some later garbage collection.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 

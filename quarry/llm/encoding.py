@@ -34,9 +34,9 @@ import pyarrow as pa
 from quarry.llm.textvec import buffers
 
 #: Bytes of text in one vectorised step; a longer text is a step of its own.
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 #: Bytes of remembered parts (with about 150 a part for the tables), and the longest one.
-MEMORY, LONG = 96 << 20, 64
+MEMORY, LONG = 40 << 20, 64
 END = 2
 #: Marks that end a run of letters and begin a piece: the ASCII marks but the apostrophe.
 CLOSERS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -201,6 +201,7 @@ def encoded(texts: pa.Array, path: str, end: bool = True) -> Iterator[tuple[int,
         own = offsets[lo : hi + 1]
         yield lo, hi, *encoder(path)(data[own[0] : own[-1]], own - own[0], end)
         lo = hi
+    pa.default_memory_pool().release_unused()  # workers live on, and the next operator needs the room
 
 
 def encode(texts: list[str], path: str) -> list[bytes]:

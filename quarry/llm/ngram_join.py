@@ -51,7 +51,7 @@ from quarry.llm.textvec import U64, mix
 N, PERCENT = 5, 80
 SLICES, SALTS = 4, 64
 #: N-grams in a block of sets and, while they are fewer than MOST_FRAGMENTS, in a fragment.
-BLOCK, FRAGMENT, MOST_FRAGMENTS = 1 << 20, 1 << 19, 1 << 16
+BLOCK, FRAGMENT, MOST_FRAGMENTS = 1 << 19, 1 << 18, 1 << 16
 #: Set ids that a task remembers so that its own copies are written once.
 REMEMBER = 1_000_000
 

@@ -112,6 +112,7 @@ def chunks(texts: pa.Array, table: np.ndarray = SAME) -> Iterator[tuple[int, int
         own = offsets[lo : hi + 1]
         yield lo, hi, words(data[own[0] : own[-1]], own - own[0], table)
         lo = hi
+    pa.default_memory_pool().release_unused()  # workers live on, and the next operator needs the room
 
 
 def windows(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
