@@ -23,14 +23,32 @@ INSTANTS = (
 
 
 def as_text(c: Column, kind: T.DataType) -> Column:
-    """Text of a value that is the same on every engine: times rendered, binary floats through decimals."""
+    """Text to show and sample, the same on every engine: times rendered, binary floats as decimals where six places hold them exactly."""
     if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return render_time(c)
     if isinstance(kind, (T.FloatType, T.DoubleType)):
-        return c.cast("decimal(38,6)").cast("string")
+        plain = c.try_cast("decimal(38,6)")
+        return F.when(plain.cast(kind) == c, plain.cast("string")).otherwise(c.cast("string"))
     return c.cast("string")
 
 
+def identity(c: Column, kind: T.DataType) -> tuple[Column, Column, Column]:
+    """(long, double, text), of which one is set: what tells values of a column apart, without rendering.
+
+    Grouping takes all NaN for one value, and both zeros.
+    """
+    none = F.lit(None)
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)):
+        return c.cast("long"), none.cast("double"), none.cast("string")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c).cast("long"), none.cast("double"), none.cast("string")
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return none.cast("long"), c.cast("double"), none.cast("string")
+    if isinstance(kind, T.BinaryType):
+        return none.cast("long"), none.cast("double"), F.hex(c)
+    return none.cast("long"), none.cast("double"), c.cast("string")  # times with their microseconds, decimals with their scale
+
+
 def normalize(c: Column) -> Column:
     return F.upper(F.trim(c))
 

@@ -8,16 +8,23 @@ from pyspark.sql import types as T
 CANONICAL = {
     name: group
     for group, names in {
-        "INT": "int int4 integer", "BIGINT": "bigint int8", "SMALLINT": "smallint int2", "TINYINT": "tinyint", "BYTEINT": "byteint",
-        "DECIMAL": "decimal", "NUMERIC": "numeric", "MONEY": "money", "SMALLMONEY": "smallmoney", "NUMBER": "number",
-        "REAL": "real float4", "FLOAT": "float", "DOUBLE PRECISION": "float8 double double_precision",
-        "CHAR": "char character bpchar", "NCHAR": "nchar", "VARCHAR": "varchar varchar2 character_varying", "NVARCHAR": "nvarchar national_character_varying",
-        "TEXT": "text ntext", "CLOB": "clob", "BINARY": "binary", "VARBINARY": "varbinary bytea", "BLOB": "blob", "BYTE": "byte", "VARBYTE": "varbyte",
-        "DATE": "date", "TIME": "time time_without_time_zone", "TIME WITH TIME ZONE": "time_with_time_zone",
-        "TIMESTAMP": "timestamp timestamp_without_time_zone datetime datetime2 smalldatetime", "TIMESTAMP WITH TIME ZONE": "timestamp_with_time_zone datetimeoffset",
-        "BOOLEAN": "boolean bool", "BIT": "bit", "UUID": "uniqueidentifier uuid", "XML": "xml", "JSON": "json", "JSONB": "jsonb",
+        "INT": ["int", "int4", "integer"], "BIGINT": ["bigint", "int8"], "SMALLINT": ["smallint", "int2"], "TINYINT": ["tinyint"], "BYTEINT": ["byteint"],
+        "DECIMAL": ["decimal"], "NUMERIC": ["numeric"], "MONEY": ["money"], "SMALLMONEY": ["smallmoney"], "NUMBER": ["number"],
+        "REAL": ["real", "float4"], "FLOAT": ["float"], "DOUBLE PRECISION": ["float8", "double", "double precision"],
+        "CHAR": ["char", "character", "bpchar"], "NCHAR": ["nchar"], "VARCHAR": ["varchar", "varchar2", "character varying"],
+        "NVARCHAR": ["nvarchar", "national character varying"], "TEXT": ["text", "ntext"], "CLOB": ["clob"],
+        "BINARY": ["binary"], "VARBINARY": ["varbinary", "bytea"], "BLOB": ["blob"], "BYTE": ["byte"], "VARBYTE": ["varbyte"],
+        "DATE": ["date"], "TIME": ["time", "time without time zone"], "TIME WITH TIME ZONE": ["time with time zone"],
+        "TIMESTAMP": ["timestamp", "timestamp without time zone", "datetime", "datetime2", "smalldatetime"],
+        "TIMESTAMP WITH TIME ZONE": ["timestamp with time zone", "datetimeoffset"],
+        "BOOLEAN": ["boolean", "bool"], "BIT": ["bit"], "UUID": ["uniqueidentifier", "uuid"], "XML": ["xml"], "JSON": ["json"], "JSONB": ["jsonb"],
     }.items()
-    for name in names.split()
+    for name in names
+}
+#: Type codes of Teradata's dictionary.
+TERADATA = {
+    "I": "INT", "I8": "BIGINT", "I2": "SMALLINT", "I1": "BYTEINT", "D": "DECIMAL", "F": "FLOAT", "N": "NUMBER", "CF": "CHAR", "CV": "VARCHAR", "CO": "CLOB",
+    "BF": "BYTE", "BV": "VARBYTE", "BO": "BLOB", "DA": "DATE", "AT": "TIME", "TS": "TIMESTAMP", "TZ": "TIME WITH TIME ZONE", "SZ": "TIMESTAMP WITH TIME ZONE",
 }
 SIZED = {"CHAR", "NCHAR", "VARCHAR", "NVARCHAR", "BINARY", "VARBINARY", "BYTE", "VARBYTE"}
 SCALED = {"DECIMAL", "NUMERIC", "NUMBER"}
@@ -27,7 +34,7 @@ def canonical(spelling: str | None, length: int | None = None, precision: int |
     if spelling is None:
         return "UNKNOWN"
     word = spelling.strip()
-    name = CANONICAL.get(word.lower().replace(" ", "_"), word.upper())
+    name = CANONICAL.get(word.lower(), word.upper())
     if name in SIZED and length is not None:
         return f"{name}({'MAX' if length == -1 else length})"
     if name in SCALED and precision is not None:
@@ -35,6 +42,14 @@ def canonical(spelling: str | None, length: int | None = None, precision: int |
     return name
 
 
+def of_teradata(code: str | None, length: int | None = None, precision: int | None = None, scale: int | None = None) -> str:
+    """Canonical name of a dictionary code; unknown ones are shown."""
+    if code is None:
+        return "UNKNOWN"
+    known = TERADATA.get(code.strip().upper())
+    return f"UNKNOWN({code.strip()})" if known is None else canonical(known, length, precision, scale)
+
+
 def of_spark(kind: T.DataType) -> str:
     """Canonical name of a Spark type; nested types have none and are told by UNSUPPORTED."""
     if isinstance(kind, T.DecimalType):
@@ -70,3 +85,9 @@ def is_temporal(name: str) -> bool:
 
 def is_numeric(name: str) -> bool:
     return is_integer(name) or base(name) in SCALED | {"REAL", "FLOAT", "DOUBLE PRECISION"}
+
+
+def type_class(kind: T.DataType) -> str:
+    """number, text, time, flag or other."""
+    name = of_spark(kind)
+    return "number" if is_numeric(name) else "text" if is_character(name) else "time" if is_temporal(name) else "flag" if name == "BOOLEAN" else "other"

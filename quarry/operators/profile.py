@@ -2,7 +2,7 @@
 
 values() is the shared intermediate: distinct counts, top values, samples, fingerprints and
 format classes are small aggregations of it, where a scan for each would read a table many
-times. Long texts travel as their md5 until they are needed.
+times. Distinct counts group typed values, so that nothing is rendered for them.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import exprs, types
 
-TOP_N, SAMPLE, FORMAT_SAMPLE = 20, 5000, 500
+TOP_N, SAMPLE, FORMAT_SAMPLE, BUCKETS = 20, 5000, 500, 64
 DENSE_FILL, DENSE_START = 0.95, 1
 
 
@@ -45,12 +45,22 @@ def counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
         ]).alias("cells"),
     )
     bounds = bounds.select("n_rows", F.explode("cells").alias("cell")).select("cell.column", "n_rows", "cell.non_null", "cell.low", "cell.high")
-    distinct = values(df, columns).groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))
+    distinct = distincts(df, columns)
     return bounds.join(F.broadcast(distinct), "column", "left").select(  # a row a column of one table
         "column", "n_rows", "non_null", F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"), "low", "high"
     )
 
 
+def distincts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """column, n_distinct of all non-null values, by what they are and not by how they are shown."""
+    cells = [
+        F.struct(F.lit(f.name).alias("column"), F.col(f"`{f.name}`").isNotNull().alias("set"), *[c.alias(n) for c, n in zip(exprs.identity(F.col(f"`{f.name}`"), f.dataType), "lds")])
+        for f in profiled(df, columns)
+    ]
+    rows = df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*").where("set")
+    return rows.groupBy("column", "l", "d", "s").agg(F.lit(1).alias("one")).groupBy("column").agg(F.count(F.lit(1)).alias("n_distinct"))
+
+
 def rates(counted: DataFrame) -> DataFrame:
     """null_rate of all rows and distinct_ratio of non-null ones; undefined over nothing. Not rounded."""
     return counted.withColumns(
@@ -95,22 +105,30 @@ def top_values(df: DataFrame, column: str, n: int = TOP_N) -> DataFrame:
 def samples(counted_values: DataFrame, k: int = SAMPLE) -> DataFrame:
     """Bottom-k of the normalised values of each column by md5, with rules applied and a truncation mark.
 
-    column, value, raw, freq, trimmed, uppercased, zeros, place, n_values, threshold, truncated
+    column, value, raw, freq, collapsed (spellings that zero stripping merged into it), trimmed, uppercased, zeros, place, threshold, truncated
     """
     rows = counted_values.withColumn("upper", exprs.normalize(F.col("raw"))).withColumn("value", exprs.strip_zeros(F.col("upper")))
     stripped = F.regexp_replace("raw", r"^\s+|\s+$", "")
     merged = rows.groupBy("column", "value").agg(
-        F.min("raw").alias("raw"), F.sum("freq").alias("freq"),
+        F.min("raw").alias("raw"), F.sum("freq").alias("freq"), (F.countDistinct("upper") - 1).alias("collapsed"),
         F.bool_or(stripped != F.col("raw")).alias("trimmed"), F.bool_or(stripped != F.col("upper")).alias("uppercased"),
         F.bool_or(F.col("upper") != F.col("value")).alias("zeros"),
     )
-    by_hash = Window.partitionBy("column").orderBy(exprs.rank_hash(F.col("value")))
-    kept = merged.withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= k + 1)
+    # Two steps, so that no task ranks all values of a column: within a bucket of the values, and then BUCKETS * (k + 1) rows at most.
+    first = lambda *by: F.row_number().over(Window.partitionBy("column", *by).orderBy(exprs.rank_hash(F.col("value"))))
+    merged = merged.withColumn("bucket", F.pmod(F.xxhash64("value"), F.lit(BUCKETS)))
+    kept = merged.withColumn("place", first("bucket")).where(F.col("place") <= k + 1).drop("bucket")
+    kept = kept.withColumn("place", first()).where(F.col("place") <= k + 1)
     whole = Window.partitionBy("column")
     kept = kept.withColumn("truncated", F.max("place").over(whole) > k).where(F.col("place") <= k)
     return kept.withColumn("threshold", F.max(exprs.rank_hash(F.col("value"))).over(whole))
 
 
+def head(sampled: DataFrame, k: int) -> DataFrame:
+    """The first k values of each column's sample; rules are still those of the whole sample."""
+    return sampled.where(F.col("place") <= k)
+
+
 def fingerprints(sampled: DataFrame, digest=exprs.digest) -> DataFrame:
     """(column, h, rank, threshold, truncated): hashes of a sample; the rank hash allows unbiased overlaps."""
     return sampled.select("column", digest(F.col("value")).alias("h"), exprs.rank_hash(F.col("value")).alias("rank"), "threshold", "truncated")

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from quarry.functions import exprs, types
 from quarry.operators import drift as drifting
-from quarry.operators import edges, gates, mining, profile
-from quarry.plans import sequence
+from quarry.operators import edges, gates, measure, mining, profile
+from quarry.plans import bundle, sequence, validate
+from quarry.sources import dictionary
 from quarry.sources.tables import Constraint, Index, Source
 from quarry.streaming import profile as streaming
 
@@ -45,29 +46,51 @@ def each(columns: list[str], sql: str) -> str:
 
 
 TABLES = ["customer", "orders", "lineitem", "part", "supplier", "nation", "region", "events"]
-LINE = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate"]
-ORDERS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
+LINE = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+ORDERS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 RENDERED = "concat(year({c}), '/', month({c}), '/', day({c}), CASE WHEN {c} = date_trunc('day', {c}) THEN '' ELSE concat(' ', hour({c}), ':', lpad(CAST(minute({c}) AS VARCHAR), 2, '0'), ':', lpad(CAST(second({c}) AS VARCHAR), 2, '0')) END)"
 
 
+EVENTS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+DOUBLES = {"l_quantity", "l_extendedprice", "l_discount", "l_tax", "o_totalprice", "value"}
+EXACT = "CASE WHEN CAST(CAST({c} AS DECIMAL(38,6)) AS DOUBLE) = {c} THEN CAST(CAST({c} AS DECIMAL(38,6)) AS VARCHAR) ELSE CAST({c} AS VARCHAR) END"
+
+
 def bounds_sql(table_name: str, columns: list[str], times: set[str]) -> str:
     parts = []
     for c in columns:
-        text = lambda e, c=c: RENDERED.replace("{c}", f"{e}({c})") if c in times else f"CAST({e}({c}) AS VARCHAR)"
+        shown = RENDERED if c in times else EXACT if c in DOUBLES else "CAST({c} AS VARCHAR)"
+        text = lambda e, c=c, shown=shown: shown.replace("{c}", f"{e}({c})")
         parts.append(
             f"SELECT '{c}' AS \"column\", count(*) AS n_rows, count({c}) AS non_null, count(DISTINCT {c}) AS n_distinct, {text('min')} AS low, {text('max')} AS high FROM {table_name}"
         )
     return " UNION ALL ".join(parts)
 
 
-@query()
+INVENTORY = """SELECT t AS "table", CAST(row_number() OVER (PARTITION BY t ORDER BY n) AS INT) AS ordinal, column_name AS "column",
+CASE WHEN column_type = 'BIGINT' THEN 'BIGINT' WHEN column_type = 'INTEGER' THEN 'INT' WHEN column_type = 'DOUBLE' THEN 'DOUBLE PRECISION' WHEN column_type = 'FLOAT' THEN 'REAL' WHEN column_type = 'VARCHAR' THEN 'TEXT' WHEN column_type = 'TIMESTAMP' THEN 'TIMESTAMP' WHEN column_type = 'DATE' THEN 'DATE' WHEN column_type = 'BOOLEAN' THEN 'BOOLEAN' ELSE 'UNSUPPORTED' END AS type,
+true AS nullable, regexp_full_match(column_name, '[A-Za-z_][A-Za-z0-9_$#]{0,127}') AS plain_name, column_type NOT LIKE '%[%' AS profiled FROM ({all})"""
+INVENTORY = INVENTORY.replace("{all}", " UNION ALL ".join(f"SELECT '{t}' AS t, row_number() OVER () AS n, column_name, column_type FROM (DESCRIBE {t})" for t in [*TABLES, "documents", "embeddings"]))
+
+
+@query(INVENTORY)
 def column_inventory(spark, sf_dir):
     return Source.parquet(spark, sf_dir, TABLES + ["documents", "embeddings"]).inventory()
 
 
 @query(bounds_sql("lineitem", LINE, {"l_shipdate"}))
 def profile_counts_lineitem(spark, sf_dir):
-    return profile.counts(table(spark, sf_dir, "lineitem"), LINE)
+    return profile.counts(table(spark, sf_dir, "lineitem"))
+
+
+@query(bounds_sql("orders", ORDERS, {"o_orderdate"}))
+def profile_counts_orders(spark, sf_dir):
+    return profile.counts(table(spark, sf_dir, "orders"))
+
+
+@query(bounds_sql("events", EVENTS, {"ts"}))
+def profile_counts_events(spark, sf_dir):
+    return profile.counts(table(spark, sf_dir, "events"))
 
 
 @query("SELECT (SELECT count(*) FROM customer) AS customer, (SELECT count(*) FROM orders) AS orders, (SELECT count(*) FROM lineitem) AS lineitem")
@@ -309,14 +332,168 @@ def profile_drift(spark, sf_dir):
     return drifting.drift(order_profile(orders), order_profile(orders.where("o_orderstatus = 'F'")))
 
 
-@query()
+@query("SELECT * FROM (VALUES ('customer name', 'customer', 'c_name'), ('order date', 'orders', 'o_orderdate'), ('account balance', 'customer', 'c_acctbal')) t(field, \"table\", \"column\")")
 def field_resolution(spark, sf_dir):
+    return sequence.best(field_scores(spark, sf_dir)).select("field", "table", "column")
+
+
+def field_scores(spark, sf_dir):
     wanted = spark.createDataFrame([("customer name", "text"), ("order date", "other"), ("account balance", "number")], "field string, type_class string")
     rows = Source.parquet(spark, sf_dir, ["customer", "orders"]).inventory()
     kind = F.when(F.col("type").isin("TEXT"), "text").when(F.col("type").isin("TIMESTAMP", "DATE"), "other").otherwise("number")
     return sequence.resolve(wanted, rows.select("table", "column", kind.alias("type_class"), F.lit("").alias("description")))
 
 
+@query("SELECT * FROM (VALUES ('customer name', 1, 'c_name'), ('order date', 1, 'o_orderdate'), ('account balance', 1, 'c_acctbal')) t(field, rank, \"column\")")
+def field_candidates(spark, sf_dir):
+    return sequence.ranked(field_scores(spark, sf_dir), 3).where("rank = 1").select("field", "rank", "column")
+
+
+MEASURED = """WITH p AS ({parts}),
+g AS (SELECT *, CASE WHEN c = 'o_orderstatus' THEN 'sensitive' WHEN c = 'o_custkey' OR d / nullif(m, 0) > 0.5 THEN 'allow' ELSE 'cardinality-gate' END AS fingerprint_gate,
+  CASE WHEN c = 'o_orderstatus' THEN 'sensitive' WHEN d <= 30 THEN 'allow' ELSE 'too-many-values' END AS top_n_gate FROM p)
+SELECT c AS "column", n AS n_rows, m AS non_null, d AS n_distinct, fingerprint_gate, top_n_gate, w AS dense_sequence,
+  CASE WHEN fingerprint_gate = 'allow' THEN least(r, 5000) END AS hashes, CASE WHEN fingerprint_gate = 'allow' THEN CASE WHEN r > 5000 THEN greatest(5000, d) ELSE r END END AS sample_count,
+  CASE WHEN top_n_gate = 'allow' THEN least(d, 20) END AS shown, CASE WHEN fingerprint_gate = 'allow' THEN NULL ELSE fingerprint_gate END AS suppressed FROM g"""
+
+
+def measured_sql(name: str, columns: list[str], times: set[str]) -> str:
+    parts = []
+    for c in columns:
+        shown = (RENDERED if c in times else EXACT if c in DOUBLES else "CAST({c} AS VARCHAR)").replace("{c}", c)
+        whole = f"coalesce(min({c}) <= 1 AND count(DISTINCT {c}) >= 2 AND count(DISTINCT {c}) / (max({c}) - min({c}) + 1) >= 0.95, false)" if c.endswith("key") else "false"
+        parts.append(f"SELECT '{c}' AS c, count(*) AS n, count({c}) AS m, count(DISTINCT {c}) AS d, count(DISTINCT upper(trim({shown}))) AS r, {whole} AS w FROM {name}")
+    return MEASURED.replace("{parts}", " UNION ALL ".join(parts))
+
+
+@query(measured_sql("orders", ORDERS, {"o_orderdate"}))
+def measured_orders(spark, sf_dir):
+    options = measure.Options(keys=["o_custkey"], sensitive=["orders.o_orderstatus"])
+    rows = measure.measured(table(spark, sf_dir, "orders"), "orders", options)
+    count = lambda c: F.when(F.col(c).isNotNull(), F.size(c)).cast("long")
+    return rows.select("column", "n_rows", "non_null", "n_distinct", "fingerprint_gate", "top_n_gate", "dense_sequence", count("fingerprint").alias("hashes"), "sample_count", count("top_values").alias("shown"), "suppressed")
+
+
+@query("SELECT * FROM (VALUES ('o_orderkey', 'none', 1000, 'stats'), ('o_custkey', 'none', 90, 'stats'), ('o_orderpriority', 'near-boundary', (SELECT count(DISTINCT o_orderpriority) FROM orders), 'live'), ('o_orderdate', 'no-statistics', (SELECT count(DISTINCT o_orderdate) FROM orders), 'live')) t(\"column\", scan, n_distinct, distinct_source)")
+def measured_with_statistics(spark, sf_dir):
+    import datetime as dt
+
+    day = dt.date(2020, 6, 1)
+    rows = [(None, 1000, None, None, False, "stats", day), ("o_orderkey", 1000, 1000, 0.0, False, "stats", day), ("o_custkey", 1000, 90, 0.0, False, "stats", day), ("o_orderpriority", 1000, 20, 0.0, False, "stats", day)]
+    stats = spark.createDataFrame(rows, "column string, n_rows long, n_distinct long, null_fraction double, approximate boolean, source string, stats_date date")
+    df = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
+    return measure.measured(df, "orders", measure.Options(today=day), stats).select("column", "scan", "n_distinct", "distinct_source")
+
+
+HEADS = [("s", "pk_a", "s", "a", "PRIMARY KEY"), ("s", "fk_b", "s", "b", "FOREIGN KEY"), ("s", "u_c", "s", "c", "UNIQUE")]
+USAGE = [("s", "pk_a", "x", 1), ("s", "pk_a", "y", 2), ("s", "fk_b", "ay", 2), ("s", "fk_b", "ax", 1), ("s", "u_c", "m", 1), ("s", "u_c", "n", 1)]
+
+
+@query("SELECT * FROM (VALUES ('a', 'PRIMARY KEY', 'x,y', NULL, NULL, false), ('b', 'FOREIGN KEY', 'ax,ay', 'a', 'x,y', false), ('c', 'UNIQUE', 'm,n', NULL, NULL, true)) t(\"table\", kind, columns, target, target_columns, ambiguous)")
+def constraint_pairing(spark, sf_dir):
+    heads = spark.createDataFrame(HEADS, "constraint_schema string, constraint_name string, table_schema string, table_name string, constraint_type string")
+    usage = spark.createDataFrame(USAGE, "constraint_schema string, constraint_name string, column_name string, ordinal_position int")
+    refs = spark.createDataFrame([("s", "fk_b", "s", "pk_a")], "constraint_schema string, constraint_name string, unique_constraint_schema string, unique_constraint_name string")
+    rows = dictionary.constraints(heads, usage, refs)
+    return rows.select("table", "kind", F.array_join("columns", ",").alias("columns"), "target", F.array_join("target_columns", ",").alias("target_columns"), "ambiguous")
+
+
+@query("SELECT * FROM (VALUES ('orders', 'o_orderkey', 1), ('orders', 'o_custkey', 2), ('orders', 'o_totalprice', NULL)) t(\"table\", \"column\", place)")
+def index_columns(spark, sf_dir):
+    rows = spark.createDataFrame([("s", "orders", "i", True, ["o_orderkey", "o_custkey"], ["o_totalprice"])], "schema string, table string, name string, primary boolean, columns array<string>, included array<string>")
+    return dictionary.indexes(rows).select("table", "column", "place")
+
+
+@query("""SELECT n_nationkey, CASE WHEN n_nationkey % 3 = 0 THEN CAST(n_nationkey + 1 AS BIGINT) WHEN n_nationkey % 3 = 1 THEN CAST(round_even(0.5 * 10 * n_nationkey, 0) AS BIGINT) END AS n_distinct FROM nation""")
+def planner_distincts(spark, sf_dir):
+    n = F.col("n_nationkey")
+    figure = F.when(n % 3 == 0, (n + 1).cast("double")).when(n % 3 == 1, F.lit(-0.5)).otherwise(F.lit(0.0))
+    return table(spark, sf_dir, "nation").select("n_nationkey", dictionary.estimated(10 * n, figure).alias("n_distinct"))
+
+
+@query("SELECT CAST(o_custkey % 50 AS VARCHAR) AS \"table\", arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS n_rows FROM orders GROUP BY 1")
+def latest_collections(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select(F.lit("s").alias("schema"), (F.col("o_custkey") % 50).cast("string").alias("table"), F.col("o_orderkey").alias("n_rows"), F.struct("o_orderdate", "o_orderkey").alias("at"))
+    newest = rows.groupBy("schema", "table").agg(F.max_by("n_rows", "at").alias("n_rows"))
+    return newest.select("table", "n_rows")
+
+
+@query("SELECT o_orderpriority AS \"table\", CAST(sum(o_custkey) AS BIGINT) AS n_rows FROM orders GROUP BY 1")
+def partition_sums(spark, sf_dir):
+    return dictionary.partitions(table(spark, sf_dir, "orders").select(F.lit("s").alias("schema"), F.col("o_orderpriority").alias("table"), F.col("o_custkey").alias("n_rows"))).select("table", "n_rows")
+
+
+@query("SELECT * FROM (VALUES ('ghost', 'x')) t(\"table\", \"column\")")
+def orphan_columns(spark, sf_dir):
+    tables = spark.createDataFrame([("s", t, "BASE TABLE") for t in TABLES], "table_schema string, table_name string, table_type string")
+    columns = [("s", t, c) for t in TABLES for c in table(spark, sf_dir, t).columns] + [("s", "ghost", "x")]
+    return dictionary.inventory(tables, spark.createDataFrame(columns, "table_schema string, table_name string, column_name string"))[1].select("table", "column")
+
+
+@query("SELECT * FROM (VALUES ('s.far', 'srv.db.s.t', 'synonym'), ('other', 'other', 'server')) t(name, target, kind)")
+def external_references(spark, sf_dir):
+    synonyms = spark.createDataFrame([("s", "far", "srv.db.s.t"), ("s", "near", "s.t")], "schema string, name string, target string")
+    return dictionary.external(synonyms, spark.createDataFrame([("other",)], "name string"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 4 = 0 THEN true WHEN event_id % 4 = 1 THEN false END AS flag, nullif(trim(CASE WHEN event_id % 2 = 0 THEN '  ' ELSE concat(' ', event_type, ' ') END), '') AS text FROM events")
+def coerced_values(spark, sf_dir):
+    n = F.col("event_id")
+    word = F.when(n % 4 == 0, " YES").when(n % 4 == 1, "0").when(n % 4 == 2, "maybe")
+    blank = F.when(n % 2 == 0, "  ").otherwise(F.concat(F.lit(" "), "event_type", F.lit(" ")))
+    return table(spark, sf_dir, "events").select("event_id", dictionary.flag(word).alias("flag"), dictionary.text(blank).alias("text"))
+
+
+@query("SELECT * FROM (VALUES ('Name', 'Name', false), ('code', 'CODE', false), ('id', NULL, true), ('ghost', NULL, false)) t(\"column\", found, ambiguous)")
+def identifier_lookup(spark, sf_dir):
+    names = spark.createDataFrame([("Name",), ("name",), ("CODE",), ("ID",), ("Id",)], "column string")
+    return dictionary.lookup(names, spark.createDataFrame([("Name",), ("code",), ("id",), ("ghost",)], "column string"), "column")
+
+
+@query(SCORED + "status, CASE WHEN status = 'candidate' THEN CASE WHEN least((SELECT count(*) FROM customer), CASE rt WHEN 'orders' THEN (SELECT count(*) FROM orders) ELSE (SELECT count(*) FROM events) END) >= 1000 AND k <> 'number' THEN 'high' ELSE 'medium' END WHEN status = 'weak' THEN 'weak' END AS confidence, (lc = 'c_custkey' AND rc IN ('o_custkey', 'o_orderkey', 'user_id')) AS both_indexed, rc = 'o_orderkey' AS primary_right FROM z")
+def edge_labels(spark, sf_dir):
+    rows = edges.scored(*join_inputs(spark, sf_dir, RIGHT))
+    has = lambda label: F.array_contains("boosts", label)
+    return rows.select("l_table", "l_column", "r_table", "r_column", "status", "confidence", has("idx-idx").alias("both_indexed"), has("pi-right").alias("primary_right"))
+
+
+@query("SELECT count(*) FILTER (status = 'candidate') AS accepted, count(*) FILTER (status = 'weak') AS weak, count(*) FILTER (status = 'suppressed') AS suppressed_int_pairs, count(*) FILTER (status = 'below-floor') AS below_evidence_floor, count(*) FILTER (status = 'no-overlap') AS no_overlap FROM ("
+       + SCORED.replace("SELECT lt AS l_table, lc AS l_column, rt AS r_table, rc AS r_column, ", "SELECT status FROM z)"))
+def edge_counters(spark, sf_dir):
+    return edges.counters(edges.scored(*join_inputs(spark, sf_dir, RIGHT)))
+
+
+@query("SELECT * FROM (VALUES ('customer', 'c_custkey', 'lineitem', 'l_suppkey', 'medium', true), ('customer', 'c_custkey', 'orders', 'o_custkey', CASE WHEN (SELECT count(*) FROM (SELECT DISTINCT o_custkey AS v FROM orders INTERSECT SELECT c_custkey FROM customer)) / (SELECT least(count(DISTINCT o_custkey), (SELECT count(*) FROM customer)) FROM orders) >= 0.7 THEN 'high' ELSE 'medium' END, false)) t(l_table, l_column, r_table, r_column, confidence, no_evidence)")
+def declared_edges(spark, sf_dir):
+    rows = [("main", "customer", "c_custkey", "main", "orders", "o_custkey", "v1"), ("main", "customer", "c_custkey", "main", "lineitem", "l_suppkey", "v2")]
+    scored = edges.with_code_evidence(edges.scored(*join_inputs(spark, sf_dir, RIGHT)), spark.createDataFrame(rows, mining.INTENTS))
+    return scored.where("declared").select("l_table", "l_column", "r_table", "r_column", "confidence", F.array_contains("boosts", "no-value-evidence").alias("no_evidence"))
+
+
+@query("SELECT * FROM (VALUES ('customer', 'c_custkey', 'join-intent: orders.o_custkey (main.v_orders)'), ('orders', 'o_custkey', 'join-intent: customer.c_custkey (main.v_orders)'), ('lineitem', 'l_orderkey', 'join-intent: orders.o_orderkey (main.v_lines)'), ('orders', 'o_orderkey', 'join-intent: lineitem.l_orderkey (main.v_lines)')) t(\"table\", \"column\", line)")
+def join_intent_lines(spark, sf_dir):
+    return bundle.join_intents(mining.intents(mined_views(spark, sf_dir)), ["customer", "orders", "lineitem"])
+
+
+@query("SELECT * FROM (VALUES ('orders', 'o_orderstatus', 'schema', 'constraint-changed', true), ('orders', 'o_orderkey', 'profile', 'fingerprint-changed', true), ('orders', NULL, 'profile', 'flags-changed', true), ('old', NULL, 'table', 'table-dropped', true), ('new', NULL, 'table', 'table-added', true)) t(\"table\", \"column\", class, reason, invalidates)")
+def drift_reasons(spark, sf_dir):
+    own = order_profile(table(spark, sf_dir, "orders")).withColumns({"constraints": F.array(F.lit("PRIMARY KEY")), "fingerprint": F.lit("a"), "flags": F.lit("[]")})
+    status = F.col("column") == "o_orderstatus"
+    now = own.withColumns({"constraints": F.when(status, F.array().cast("array<string>")).otherwise(F.col("constraints")), "fingerprint": F.when(F.col("column") == "o_orderkey", "b").otherwise("a"), "flags": F.lit("[junk]")})
+    return drifting.drift(own.unionByName(own.limit(1).withColumn("table", F.lit("old"))), now.unionByName(now.limit(1).withColumn("table", F.lit("new"))), by_table=True)
+
+
+@query("SELECT * FROM (VALUES ('T010', 'error', 'db/SHOP/main/orders.md'), ('B007', 'error', 'db/SHOP/index.md')) t(code, severity, path)")
+def bundle_findings(spark, sf_dir):
+    """A bundle of orders is written as files and checked after a description and a table document have gone."""
+    rows = bundle.annotated(measure.measured(table(spark, sf_dir, "orders"), "orders", measure.Options(sensitive=["o_orderstatus"])))
+    more = bundle.annotated(measure.measured(table(spark, sf_dir, "nation"), "nation"))
+    both = rows.unionByName(more)
+    files = bundle.table_files(both, "SHOP", "2020-01-01").unionByName(bundle.index_file(both, "SHOP", "2020-01-01", "Orders. And nations. Nothing else.", "COMPLETE"))
+    broken = files.where("path not like '%nation%'").withColumn("text", F.regexp_replace("text", r"(### o_custkey[\s\S]*?)\n- \[inferred:low\] insufficient evidence", "$1"))
+    return validate.validate(broken).select("code", "severity", "path")
+
+
 @query(
     each(["event_type", "user_id"], "SELECT date_trunc('hour', ts) AS window_start, '{c}' AS \"column\", count(*) AS n_rows, count({c}) AS non_null, min(CAST({c} AS VARCHAR)) AS low, max(CAST({c} AS VARCHAR)) AS high FROM events GROUP BY 1")
 )

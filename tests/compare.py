@@ -11,7 +11,9 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 def plain(v):
     if v is None or (isinstance(v, float) and math.isnan(v)):
         return None
-    return round(float(v), 9) if isinstance(v, (float, int)) and not isinstance(v, bool) else str(v)
+    if isinstance(v, (bool, int)):
+        return v
+    return round(float(v), 9) if isinstance(v, float) else str(v)
 
 
 def rows(columns, found):
