@@ -491,7 +491,8 @@ def bundle_findings(spark, sf_dir):
     both = rows.unionByName(more)
     files = bundle.table_files(both, "SHOP", "2020-01-01").unionByName(bundle.index_file(both, "SHOP", "2020-01-01", "Orders. And nations. Nothing else.", "COMPLETE"))
     broken = files.where("path not like '%nation%'").withColumn("text", F.regexp_replace("text", r"(### o_custkey[\s\S]*?)\n- \[inferred:low\] insufficient evidence", "$1"))
-    return validate.validate(broken).select("code", "severity", "path")
+    documents = spark.createDataFrame(broken.collect(), broken.schema)  # four documents; rules read them many times
+    return validate.validate(documents).select("code", "severity", "path")
 
 
 @query(
