@@ -2,6 +2,7 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.functions import exprs, types
 from quarry.operators import drift, edges, gates, mining, profile
@@ -165,3 +166,57 @@ def test_streaming_profile_equals_the_batch(spark, tmp_path):
     run.option("checkpointLocation", str(tmp_path / "c")).start().awaitTermination()
     batch = windowed(spark.read.schema(schema).parquet(f"{SF}/events.parquet"), "ts", ["event_type"])
     assert sorted(map(str, spark.table("w").collect())) == sorted(map(str, batch.collect()))
+
+
+def test_distinct_counts_are_of_values_and_not_of_what_is_shown(spark):
+    times = [dt.datetime(2020, 1, 1, 0, 0, 0, k * 100000) for k in range(3)]
+    df = spark.createDataFrame([(1e-7, times[0], 0.0), (2e-7, times[1], -0.0), (3e-7, times[1], float("nan")), (1e40, None, float("nan"))], "a double, b timestamp_ntz, c double")
+    got = {r["column"]: r for r in profile.counts(df).collect()}
+    assert (got["a"]["n_distinct"], got["b"]["n_distinct"], got["c"]["n_distinct"]) == (4, 2, 2)
+    assert got["a"]["low"] == "1.0E-7" and got["a"]["high"] == "1.0E40"
+    assert values(spark, lambda c: exprs.as_text(c, T.DoubleType()), [0.5, 1e-7, 1e40, None], "double") == ["0.500000", "1.0E-7", "1.0E40", None]
+
+
+def test_paths_are_walked_from_their_start():
+    assert sequence.order({"a": 1, "b": 2, "c": 3}, [("b", "a", "high"), ("b", "c", "high")])[0] == ["a", "b", "c"]
+    assert sequence.order({"a": 9, "b": 2, "c": 3}, [("b", "a", "high"), ("c", "b", "high")])[0] == ["c", "b", "a"]
+    assert sequence.order({}, []) == ([], []) and sequence.order({"a": 2, "b": 1}, [("a", "b", "high")])[0] == ["b", "a"]
+
+
+def test_confirmed_edges_outrank_scores_until_a_type_changes(spark):
+    rows = spark.createDataFrame([("l", "a", "r", "b", "medium"), ("l", "c", "r", "d", "weak")], "l_table string, l_column string, r_table string, r_column string, confidence string")
+    confirmed = spark.createDataFrame([("l", "a", "r", "b", "INT", "INT", "x", "2020"), ("l", "c", "r", "d", "INT", "TEXT", "x", "2020")], "l_table string, l_column string, r_table string, r_column string, l_type string, r_type string, by string, date string")
+    now = spark.createDataFrame([("l", "a", "INT"), ("r", "b", "INT"), ("l", "c", "INT"), ("r", "d", "INT")], "table string, column string, type string")
+    got = {r["l_column"]: (r["confidence"], r["standing"]) for r in edges.with_confirmations(rows, confirmed, now).collect()}
+    assert got == {"a": ("confirmed", "confirmed"), "c": ("weak", "stale-confirmed")}
+
+
+def test_a_crawl_writes_its_files_and_deletes_leftovers(spark, tmp_path):
+    from quarry import crawl
+    from quarry.plans import bundle
+
+    source = Source(spark, {"t": spark.createDataFrame([(1, "x"), (2, "y")], "id long, v string"), "t_old": spark.range(3)}, [Constraint("t", "PRIMARY KEY", ("id",))])
+    out = crawl.crawl(source, "SHOP", date="2020-01-01")
+    assert out.completeness == "COMPLETE" and out.failures == []
+    (tmp_path / "db" / "SHOP" / "main").mkdir(parents=True)
+    (tmp_path / "db" / "SHOP" / "main" / "gone.md").write_text("x")
+    assert bundle.write(out.files, f"file://{tmp_path}") == ["db/SHOP/main/gone.md"]
+    text = (tmp_path / "db" / "SHOP" / "main" / "t.md").read_text()
+    assert "### id" in text and "dense_sequence: true" in text and "fingerprints/main.t.id.json" in text
+    assert (tmp_path / "db" / "SHOP" / "fingerprints" / "main.t.id.json").exists()
+    assert "flags: [junk]" in (tmp_path / "db" / "SHOP" / "main" / "t_old.md").read_text()
+    back = bundle.from_json(bundle.to_json(out.profiles), out.profiles)
+    assert back.count() == out.profiles.count()
+
+
+def test_answers_and_settings():
+    from quarry.plans import bundle
+
+    assert bundle.answer('```json\n{"a": 1}\n```') == {"a": 1}
+    for bad in ("[1]", "no"):
+        with pytest.raises(ValueError):
+            bundle.answer(bad)
+    with pytest.raises(ValueError, match="unknown"):
+        bundle.settings(None, {"x": 1}, {"y"})
+    with pytest.raises(ValueError, match="environment"):
+        bundle.settings(None, {"connection": {"Password": "p"}}, {"connection"})
