@@ -10,7 +10,7 @@ import zlib
 
 import numpy as np
 import pytest
-from hypothesis import given, settings
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -649,3 +649,16 @@ def test_components(spark):
     chain = [(k, k + 1) for k in range(30)] + [(50, 40), (41, 50), (60, 60)]
     got = {r["node"]: r["label"] for r in components.components(spark.createDataFrame(chain, "u long, v long")).collect()}
     assert got == {k: 0 for k in range(31)} | {40: 40, 41: 40, 50: 40}
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(-9, 40)), st.integers(-9, 40)), max_size=60))
+def test_components_of_any_edges(spark, edges):
+    table = spark.createDataFrame(edges, "u long, v long")
+    got = [(r["node"], r["label"]) for r in components.components(table).collect()]
+    least = {x: x for u, v in edges if u is not None and u != v for x in (u, v)}
+    for _ in least:
+        for u, v in edges:
+            if u in least and u != v:
+                least[u] = least[v] = min(least[u], least[v])
+    assert sorted(got) == sorted(least.items())
