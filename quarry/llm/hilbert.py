@@ -2,8 +2,7 @@
 
 Language, source and length class of a document are quantised to BITS bits each, in their own
 order: strings by cut points that part the rows into ranges of about equal weight (from the counts of
-all values, or of the CUT_VALUES ones with the smallest hash where there are more), lengths by their
-logarithm. Rows are sorted by the curve index of that cell and cut into runs of equal row
+all values, added up in order over ranges of them), lengths by their logarithm. Rows are sorted by the curve index of that cell and cut into runs of equal row
 counts; files hold narrow ranges of all three, so their min and max statistics prune.
 
 A row's place comes from counts of (cell, sub-cell) groups plus its place within the group, so no task
@@ -17,6 +16,8 @@ kept by placed() and write_shards(), whatever their names (but RESULT, which pla
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,8 +25,8 @@ from quarry.llm.common import remove, written
 
 BITS, DIMS = 4, 3
 SUB_ROWS, SUB_CELLS = 1 << 18, 256
-#: Distinct values that cut points are taken from, and rows in a file of write_shards().
-CUT_VALUES, FILE_ROWS = 10_000, 1 << 18
+#: Rows in a file of write_shards().
+FILE_ROWS = 1 << 18
 RESULT = "_hilbert"
 #: Added columns; their names are unlikely in a table of documents.
 SIZE, CRC, CELL, HASH, PLACE, SUB, START, TOTAL, RANK, SHARD = (f"_hilbert_{c}" for c in "size crc cell hash place sub start total rank shard".split())
@@ -68,16 +69,27 @@ def curve(spark: SparkSession, bits: int = BITS, dims: int = DIMS) -> DataFrame:
 
 
 def cuts(docs: DataFrame, column: str, parts: int) -> list[str]:
-    """At most parts - 1 values, ascending, that part the rows into ranges of about equal weight."""
+    """At most parts - 1 values, ascending, that part the rows into ranges of about equal weight, from the counts of all values."""
+    spark = docs.sparkSession
     counts = docs.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("string").alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    rows = counts.orderBy(F.xxhash64("v"), "v").limit(CUT_VALUES).collect()
-    total, below, out = sum(r["n"] for r in rows), 0, []
-    for r in sorted(rows, key=lambda r: r["v"].encode()):  # Spark compares strings by their bytes
-        if below * parts >= total * (len(out) + 1):
+    ranged = counts.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "v").withColumn("part", F.spark_partition_id())
+    values, used = written(ranged, "hilbert-values")  # parts hold ranges of values, in order
+    sums = sorted(values.groupBy("part").agg(F.sum("n"), F.count("n")).collect())  # a row a part
+    total, distinct = sum(r[1] for r in sums), sum(r[2] for r in sums)
+    starts = list(zip((r[0] for r in sums), accumulate((r[1] for r in sums), initial=0)))
+    inner = F.sum("n").over(Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
+    ranks = values.join(F.broadcast(spark.createDataFrame(starts, "part int, start long")), "part").withColumn("below", F.col("start") + inner)
+    # The rows below a value reach the ends of so many ranges; of the values of one such step only the first can become cuts.
+    ranks = ranks.withColumn("step", F.expr(f"below * {parts} div {max(1, total)}"))
+    ranks = ranks.withColumn("nth", F.row_number().over(Window.partitionBy("step").orderBy("v"))).where(F.col("nth") <= parts)
+    rows = sorted(ranks.select("v", "below").collect(), key=lambda r: r["v"].encode())  # parts ** 2 at most; Spark compares strings by their bytes
+    remove(spark, used)
+    if distinct < parts:  # few values: a range each
+        return [r["v"] for r in rows][: parts - 1]
+    out: list[str] = []
+    for r in rows:
+        if r["below"] * parts >= total * (len(out) + 1):
             out.append(r["v"])
-        below += r["n"]
-    if len(rows) < parts:  # few values: a range each
-        out = sorted((r["v"] for r in rows), key=str.encode)[: parts - 1]
     return out[: parts - 1]
 
 

@@ -493,6 +493,24 @@ def test_hilbert_cuts(spark):
     assert hilbert.cuts(table.limit(0), "source", 16) == []
 
 
+def test_hilbert_cuts_count_every_value(spark):
+    """Cut points come from the counts of all values, also of very many and very unequal ones."""
+
+    def brute(values, parts):
+        counts, below, out = collections.Counter(v for v in values if v is not None), 0, []
+        for v in sorted(counts, key=str.encode):
+            if below * parts >= sum(counts.values()) * (len(out) + 1):
+                out.append(v)
+            below += counts[v]
+        return (sorted(counts, key=str.encode) if len(counts) < parts else out)[: parts - 1]
+
+    many = [f"s{k:05d}" for k in range(25_000)] + ["s20000"] * 5_000 + ["é"] * 900 + [None] * 100
+    for values in (many, [f"s{k:03d}" for k in range(400)] + ["s007"] * 300, list("abcdefghijklmno"), list("abcdefghijklmnop"), [None]):
+        table = spark.createDataFrame([(v,) for v in values], "source string").repartition(5)
+        for parts in (2, 16):
+            assert hilbert.cuts(table, "source", parts) == brute(values, parts)
+
+
 def test_language_without_a_letter_and_many_languages(spark):
     """Fractions and Roman numerals are no letters; every labelled language can be predicted, also the 70th."""
     rng = random.Random(6)
