@@ -31,6 +31,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import zstandard
 from pyspark import TaskContext
@@ -71,12 +72,12 @@ class WaveletMatrix:
         width = FRAME // 8
         planes, before, v = [], [], ids.astype(np.uint32 if bits > 16 else np.uint16)
         for k in range(bits - 1, -1, -1):
-            b = (v >> v.dtype.type(k) & v.dtype.type(1)).astype(bool)
-            packed = np.packbits(b, bitorder="little")
+            packed = np.packbits(v & v.dtype.type(1 << k) != 0, bitorder="little")
             frames = [packed[i : i + width] for i in range(0, len(packed), width)]
             planes.append(frames)
             before.append(np.concatenate([[0], np.cumsum([int(np.bitwise_count(f).sum(dtype=np.int64)) for f in frames])]))
-            v = np.concatenate([v[~b], v[b]])
+            ones, every = pa.Array.from_buffers(pa.bool_(), len(v), [None, pa.py_buffer(packed)]), pa.array(v)
+            v = np.concatenate([every.filter(pc.invert(ones)).to_numpy(), every.filter(ones).to_numpy()])
         return cls(len(ids), bits, np.array(before).reshape(bits, -1), lambda k, f: (planes[k][f], _directory(planes[k][f])))
 
     def _ones(self, k: int, i: int) -> int:

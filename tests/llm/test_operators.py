@@ -241,6 +241,35 @@ def test_wavelet_matrix(ids, data):
     assert matrix.count(1 << 20) == 0
 
 
+def test_encoder_remembers_400000_words_within_its_bound(monkeypatch):
+    """Distinct words come back without the library while they fit MEMORY; past it the ids stay exact."""
+    path = encoding.default_tokenizer()
+    enc = encoding.Encoder(path)
+
+    def run(lo, hi):
+        data = "".join(f" w{''.join(chr(97 + k // 26**j % 26) for j in range(4))}" for k in range(lo, hi)).encode()
+        return enc(np.frombuffer(data, np.uint8), np.array([0, len(data)]), False)[0].tolist()
+
+    first = [run(lo, lo + 50_000) for lo in range(0, 400_000, 50_000)]
+    assert enc.held <= encoding.MEMORY and enc.known >= 400_000
+    known = enc.known
+    assert [run(lo, lo + 50_000) for lo in range(0, 400_000, 50_000)] == first and enc.known == known
+    arrays = (enc.pool, enc.starts, enc.hashes, enc.lengths, enc.words, enc.places, enc.slots)
+    assert sum(a.nbytes for a in arrays) <= 1.5 * encoding.MEMORY
+    monkeypatch.setattr(encoding, "MEMORY", 1 << 20)
+    assert [run(lo, lo + 50_000) for lo in (0, 50_000)] == first[:2] and enc.known < 400_000
+
+
+def test_encoder_with_equal_hashes(monkeypatch):
+    """Parts of one hash are told apart by their bytes."""
+    monkeypatch.setattr(encoding, "mix", lambda x: np.zeros_like(x))
+    enc, plain = encoding.Encoder(encoding.default_tokenizer()), encoding.Encoder(encoding.default_tokenizer()).whole
+    texts = [" one two three seven eight été ÷ × ÿ ſs", " two one six é×é ñandú " + "long" * 30 + " eight", " three seven \u00a0two"]
+    for t in texts * 2:
+        data = np.frombuffer(t.encode(), np.uint8)
+        assert enc(data, np.array([0, len(data)]), False)[0].tolist() == plain.encode(t, add_special_tokens=False).ids
+
+
 def test_wavelet_over_many_frames():
     """Frame and block edges, and how little of a file a single access reads."""
     rng = np.random.default_rng(2)
