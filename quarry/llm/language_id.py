@@ -9,7 +9,8 @@ fitted; every language with a labelled row is. Prediction reads whole texts.
 Predict: letters are lower-cased and all between them becomes one space, in texts as in
 dictionaries. The whole text is compressed in blocks of BLOCK bytes, each of its own, so that
 a long text still leans on the dictionary and not on itself; the smallest total wins, ties go to the
-language that comes first by name. score is the relative margin to the second, scaled so
+language that comes first by name. A language is left within a text once its size so far is too large
+to win or to change the score. score is the relative margin to the second, scaled so
 that RELIABLE or more is 1; below NARROW the row is marked rejected and keeps its best guess.
 
 Defined results: null text and text without a letter are `und`, score 0; without any labelled
@@ -67,16 +68,39 @@ class Classifier:
             raw.precompute_compress(level=LEVEL)
             self.packers.append(zstandard.ZstdCompressor(dict_data=raw, write_content_size=False, write_dict_id=False))
 
-    def __call__(self, text: str | None) -> tuple[str, float, bool]:
-        data = letters(text or "")
-        if not data or not self.names:
-            return "und", 0.0, True
-        blocks = [data[i : i + BLOCK] for i in range(0, len(data), BLOCK)]
-        sizes = sorted((sum(len(p.compress(b)) for b in blocks), name) for p, name in zip(self.packers, self.names))
-        if len(sizes) == 1:
-            return sizes[0][1], 1.0, False
-        margin = (sizes[1][0] - sizes[0][0]) / sizes[1][0]
-        return sizes[0][1], min(1.0, margin / RELIABLE), margin < NARROW
+    def __call__(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
+        """lang_pred, score and rejected of each text.
+
+        One language's dictionary is used for all texts before the next one's, so that it stays in the processor's cache. The language
+        of the smallest first block goes over a whole text first. Another one is left as soon as its size so far is RELIABLE above the
+        least whole one: its total, and with that every other of its kind, cannot be the smallest nor make score less than 1.
+        """
+        out: list[tuple[str, float, bool]] = [("und", 0.0, True)] * len(texts)
+        found = ((k, letters(t or "")) for k, t in enumerate(texts))
+        blocks = {k: [data[i : i + BLOCK] for i in range(0, len(data), BLOCK)] for k, data in found if data}
+        if len(self.names) < 2:
+            return [(self.names[0], 1.0, False) if self.names and k in blocks else r for k, r in enumerate(out)]
+        first = [{k: len(p.compress(own[0])) for k, own in blocks.items()} for p in self.packers]
+        guess = {k: min(range(len(first)), key=lambda n: first[n][k]) for k in blocks}
+        least: dict[int, int] = {}  # of each text, the smallest size of all its blocks
+        sizes: dict[int, list[tuple[int, str]]] = {k: [] for k in blocks}
+        for guessed in (True, False):
+            for n, (p, name) in enumerate(zip(self.packers, self.names)):
+                for k, own in blocks.items():
+                    if (guess[k] == n) != guessed:
+                        continue
+                    size, best = first[n][k], least.get(k)
+                    for b in own[1:]:
+                        if best and size > best and (size - best) / size >= RELIABLE:
+                            break
+                        size += len(p.compress(b))
+                    sizes[k].append((size, name))
+                    least[k] = min(size, best or size)
+        for k, found_sizes in sizes.items():
+            one, two = sorted(found_sizes)[:2]
+            margin = (two[0] - one[0]) / two[0]
+            out[k] = one[1], min(1.0, margin / RELIABLE), margin < NARROW
+        return out
 
 
 def identify(docs: DataFrame, content: dict[str, bytes] | None = None) -> DataFrame:
@@ -87,7 +111,7 @@ def identify(docs: DataFrame, content: dict[str, bytes] | None = None) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classify = Classifier(content)
         for b in batches:
-            out = [classify(t) for t in b.column(2).to_pylist()]
+            out = classify(b.column(2).to_pylist())
             columns = [pa.array([r[k] for r in out], kind) for k, kind in enumerate((pa.string(), pa.float64(), pa.bool_()))]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *columns], names=["doc_id", "held_out", "lang_pred", "score", "rejected"])
 

@@ -578,6 +578,40 @@ def test_exact_dedup_ties_agree(spark):
     assert len(kept[0]) == 2 and kept[0] == kept[1] == kept[2]
 
 
+def test_language_sizes_are_those_of_whole_texts(spark):
+    """A language that is left early changes no prediction, score or refusal, and saves blocks."""
+    docs = registered.documents(spark, "/root/testdata/sf0.01")
+    table, content = [r for r in docs.select("text").collect() if r["text"]], language_id.dictionaries(docs)
+    classify, calls = language_id.Classifier(content), []
+    packers = classify.packers
+
+    def whole(text):
+        data = language_id.letters(text or "")
+        if not data:
+            return "und", 0.0, True
+        blocks = [data[i : i + language_id.BLOCK] for i in range(0, len(data), language_id.BLOCK)]
+        one, two = sorted((sum(len(p.compress(b)) for b in blocks), name) for p, name in zip(packers, content))[:2]
+        margin = (two[0] - one[0]) / two[0]
+        return one[1], min(1.0, margin / language_id.RELIABLE), margin < language_id.NARROW
+
+    class Counted:
+        def __init__(self, packer):
+            self.packer = packer
+
+        def compress(self, block):
+            calls.append(len(block))
+            return self.packer.compress(block)
+
+    rng = random.Random(11)
+    texts = [None, "", "12 #"] + [r["text"] for r in table[:400]]
+    texts += [" ".join(" ".join(rng.choice(table)["text"].split()[:60]) for _ in range(rng.randint(2, 8))) for _ in range(200)]  # mixed languages
+    classify.packers = [Counted(p) for p in packers]
+    expected = [whole(t) for t in texts]
+    assert classify(texts) == expected and len({r[0] for r in expected}) >= 4 and sum(0 < r[1] < 1 for r in expected) >= 20
+    every = sum(-(-len(language_id.letters(t or "")) // language_id.BLOCK) for t in texts) * len(packers)
+    assert len(calls) <= 0.9 * every
+
+
 def test_language_id(spark, docs, empty):
     got = language_id.identify(docs).collect()
     by_text = {repr(r["doc_id"]): r for r in got}
