@@ -17,7 +17,7 @@ every text if the tokenizer's pre-tokenizer or normaliser is of another kind tha
 
 Defined results: null and empty texts have no ids of their own (with `end`, the end id alone).
 A worker remembers MEMORY bytes of parts at most and then starts afresh; parts of more than
-LONG bytes are not remembered. What it remembers lies in arrays, about 60 bytes a part, and is found by a
+LONG bytes are not remembered. What it remembers lies in arrays, about 80 bytes a part, and is found by a
 hash of the part's bytes; the bytes are then compared, so that ids are exact.
 """
 
